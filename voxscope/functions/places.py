@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -20,10 +21,8 @@ def match_place(location: Column, rules: Rules, other: str) -> Column:
     lowered = F.lower(location)
     answer = F.lit(other)
     for place, keywords in reversed(rules):
-        hit = F.lit(False)
-        for keyword in keywords:
-            hit = hit | F.contains(lowered, F.lit(keyword.lower()))
-        answer = F.when(hit, place).otherwise(answer)
+        # One pattern per place keeps the generated code small.
+        answer = F.when(lowered.rlike("|".join(re.escape(k.lower()) for k in keywords)), place).otherwise(answer)
     missing = location.isNull() | location.isin("nan", fv.UNKNOWN_PLACE)
     return F.when(missing, fv.UNKNOWN_PLACE).otherwise(answer)
 

@@ -12,23 +12,26 @@ from pyspark.sql import functions as F
 
 
 def lexicon_hits(text: Column, words: Iterable[str]) -> Column:
-    """Sum of the weights of the listed words found in ``text``; a word listed n times weighs n."""
+    """Sum of the weights of the listed words found in ``text``; null for missing text."""
     weights = Counter(words)
     found = [F.contains(text, F.lit(word)).cast("int") * weight if weight > 1
              else F.contains(text, F.lit(word)).cast("int") for word, weight in weights.items()]
-    return F.coalesce(reduce(add, found), F.lit(0)) if found else F.lit(0)
+    return reduce(add, found) if found else F.lit(0)
 
 
 def sentiment_ratio(text: Column, positive: Iterable[str], negative: Iterable[str]) -> Column:
-    """(P - N) / (P + N) between -1 and 1; 0 when nothing matches."""
+    """(P - N) / (P + N) between -1 and 1; 0 when nothing matches.
+
+    Without a CASE, Spark computes P and N once although both are used twice.
+    """
     plus, minus = lexicon_hits(text, positive), lexicon_hits(text, negative)
-    return F.when(plus + minus == 0, F.lit(0.0)).otherwise(
-        (plus - minus).cast("double") / (plus + minus).cast("double"))
+    return F.coalesce(F.try_divide((plus - minus).cast("double"), (plus + minus).cast("double")), F.lit(0.0))
 
 
 def sentiment_net(text: Column, positive: Iterable[str], negative: Iterable[str]) -> Column:
     """P - N with every word counted once; 0 for missing text."""
-    return (lexicon_hits(text, set_order(positive)) - lexicon_hits(text, set_order(negative))).cast("double")
+    net = lexicon_hits(text, set_order(positive)) - lexicon_hits(text, set_order(negative))
+    return F.coalesce(net.cast("double"), F.lit(0.0))
 
 
 def set_order(words: Iterable[str]) -> list[str]:

@@ -12,27 +12,28 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LATIN_RUN = r"[0-9A-Za-z\x{c0}-\x{24f}]+"
-HAN_RUN = r"[\x{4e00}-\x{9fff}]+"
+LATIN = r"[0-9A-Za-z\x{c0}-\x{24f}]"
+HAN = r"[\x{4e00}-\x{9fff}]"
 
 
 def tokenize(text: Column, min_len: int = 2, phrases: Iterable[str] = (),
              segmenter: Callable[[Column], Column] | None = None) -> Column:
     """Array of tokens of at least ``min_len`` characters, in text order, repeats kept."""
     if segmenter is not None:
-        tokens = segmenter(text)
+        tokens = F.filter(segmenter(text), lambda t: F.length(t) >= min_len)
     else:
-        kept = sorted(set(phrases), key=lambda p: (-len(p), p))
-        choices = [re.escape(p) for p in kept] + [LATIN_RUN, HAN_RUN]
+        kept = sorted({p for p in phrases if len(p) >= min_len}, key=lambda p: (-len(p), p))
+        choices = [re.escape(p) for p in kept] + [f"{c}{{{min_len},}}" for c in (LATIN, HAN)]
         runs = F.regexp_extract_all(text, F.lit("(" + "|".join(choices) + ")"), F.lit(1))
-        tokens = F.flatten(F.transform(runs, lambda run: _split_run(run, kept)))
-    return F.coalesce(F.filter(tokens, lambda t: F.length(t) >= min_len),
-                      F.array().cast("array<string>"))
+        # Only text with a longer Han run needs cutting; everything else is tokens already.
+        cut = F.flatten(F.transform(runs, lambda run: _split_run(run, kept)))
+        tokens = F.when(text.rlike(f"{HAN}{{3,}}"), cut).otherwise(runs)
+    return F.coalesce(tokens, F.array().cast("array<string>"))
 
 
 def _split_run(run: Column, phrases: list[str]) -> Column:
     whole = F.array(run)
-    is_han = run.rlike(r"^[\x{4e00}-\x{9fff}]") & (F.length(run) > 2)
+    is_han = run.rlike(f"^{HAN}") & (F.length(run) > 2)
     if phrases:
         is_han = is_han & ~run.isin(phrases)
     bigrams = F.transform(F.sequence(F.lit(1), F.length(run) - 1), lambda i: F.substring(run, i, F.lit(2)))

@@ -50,10 +50,16 @@ def drop_empty_text(df: DataFrame, column: str = "content_clean") -> DataFrame:
 
 def exclude_patterns(df: DataFrame, column: str = "content_clean",
                      fragments: Iterable[str] = fv.NOISE_FRAGMENTS) -> DataFrame:
-    """Drop rows whose text contains any of the fragments."""
+    """Drop rows whose text contains any of the fragments.
+
+    Apply it to a stored column: a filter on a computed one repeats the computation per fragment.
+    """
     if column not in df.columns:
         return df
-    for fragment in fragments:
+    # A fragment that contains another one adds nothing.
+    fragments = list(dict.fromkeys(fragments))
+    needed = [f for f in fragments if not any(o != f and o in f for o in fragments)]
+    for fragment in needed:
         df = df.filter(~F.contains(F.col(column), F.lit(fragment)))
     return df
 

@@ -50,15 +50,20 @@ def standardise_types(df: DataFrame, options: CleaningOptions = CleaningOptions(
     return df.withColumns(casts)
 
 
-def prepared(raw: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
-    """Steps 1 to 4: blank rows, types, missing values, text."""
+def prepared(raw: DataFrame, options: CleaningOptions = CleaningOptions(), drop_empty: bool = True) -> DataFrame:
+    """Steps 1 to 4: blank rows, types, missing values, text.
+
+    Spark evaluates a filter on a computed column by repeating the computation.  With
+    ``drop_empty=False`` rows whose cleaned text is empty stay, to be dropped once it is stored.
+    """
     df = filters.drop_blank_rows(raw)
     df = standardise_types(df, options)
     df = filters.drop_missing(df)
     df = filters.coalesce_time(df)
     df = filters.fill_missing(df)
     if "content" in df.columns:
-        df = filters.drop_empty_text(df.withColumn("content_clean", text.clean_text(F.col("content"))))
+        df = df.withColumn("content_clean", text.clean_text(F.col("content")))
+        df = filters.drop_empty_text(df) if drop_empty else df
     return df
 
 
@@ -96,15 +101,21 @@ def filter_noise(df: DataFrame, options: CleaningOptions = CleaningOptions()) ->
     return filters.exclude_bot_avatar(df)
 
 
-def deduplicated(raw: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
-    """Steps 1 to 5, with stored tables where a later step reads its input twice."""
-    df = prepared(raw, options)
+def unique_texts(raw: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
+    """Steps 1 to 4 and the first row per cleaned text, as a stored table."""
+    df = prepared(raw, options, drop_empty=False)
     if "content_clean" not in df.columns:
         return df
-    df = dedup.dedup_keep_first(df, "content_clean", list(options.order))
-    if not {"user_id", "create_time"} <= set(df.columns):
+    # All empty texts are one duplicate group here; the stored table is then filtered cheaply.
+    df = stage(dedup.dedup_keep_first(df, "content_clean", list(options.order)), "unique-texts")
+    return filters.drop_empty_text(df)
+
+
+def deduplicated(raw: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
+    """Steps 1 to 5, with stored tables where a later step reads its input twice."""
+    df = unique_texts(raw, options)
+    if not {"user_id", "create_time", "content_clean"} <= set(df.columns):
         return df
-    df = stage(df, "deduplicated")
     return dedup.burst_spam_filter(df, options.burst_seconds, options.burst_length, tie=options.order[0])
 
 
