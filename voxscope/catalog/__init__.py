@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import aggregate, scalar, text
+from . import aggregate, joining, ranking, scalar, text
 from .base import Entry
 
-MODULES = (text, scalar, aggregate)
+MODULES = (text, scalar, aggregate, ranking, joining)
 
 
 def entries() -> dict[str, Entry]:
