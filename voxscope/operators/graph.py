@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import mention_target, normalise_mention
@@ -43,11 +43,11 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tolerance: float = 1e-6, max
     Nodes without outgoing edges spread their rank evenly.  Iteration stops when the summed
     change falls below nodes * tolerance, or after exactly ``rounds`` rounds when given.
 
-    One round is one join and one aggregation.  The links stay in memory, partitioned by
-    (node, piece); a node with more than ``piece`` links is cut into pieces and its rank is
-    copied once per piece, so that no task gets all links of a popular node.  Ranks are
-    written to a table after every round, which keeps plans short and survives lost executors;
-    the links can be rebuilt from their own table.
+    One round is one job: a join, an aggregation, and a table write that also measures the rank
+    of nodes without links and the change.  The links stay in memory, partitioned by (node,
+    piece); a node with more than ``piece`` links is cut into pieces and its rank is copied once
+    per piece, so that no task gets all links of a popular node.  Reading each round from a
+    table keeps plans short, and a lost executor costs one round at most.
     """
     spark = edges.sparkSession
     edges = stage(edges.select("src", "dst", F.col("weight").cast("double").alias("weight")), "pagerank-edges")
@@ -64,11 +64,11 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tolerance: float = 1e-6, max
                 (F.col("weight") / F.col("_out")).alias("share")), "pagerank-links")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     links = links.repartition(parts, "src", "piece").persist(StorageLevel.MEMORY_AND_DISK)
+    ranks = nodes.select("user", F.lit(1.0 / n).alias("rank"), F.lit(0.0).alias("previous"),
+                         (F.col("_links") == 0).alias("dangling"), "_pieces")
+    lost = ranks.filter("dangling").count() / n
     try:
-        ranks = nodes.select("user", F.lit(1.0 / n).alias("rank"), F.lit(0.0).alias("previous"),
-                             (F.col("_links") == 0).alias("dangling"), "_pieces")
         for _ in range(rounds if rounds is not None else max_rounds):
-            lost = ranks.agg(F.sum(F.when(F.col("dangling"), F.col("rank")))).first()[0] or 0.0
             spread = ranks.select(F.col("user").alias("src"), "rank", F.explode(
                 F.sequence(F.lit(0), F.col("_pieces") - 1)).alias("piece"))
             received = links.join(spread, ["src", "piece"]).select(
@@ -78,14 +78,16 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tolerance: float = 1e-6, max
             kept = ranks.select("user", F.lit(0.0).alias("gain"), F.col("rank").alias("previous"),
                                 "dangling", "_pieces")
             base = alpha * lost / n + (1.0 - alpha) / n
-            ranks = stage(
-                received.union(kept).groupBy("user").agg(
-                    (F.sum("gain") * alpha + F.lit(base)).alias("rank"), F.max("previous").alias("previous"),
-                    F.max("dangling").alias("dangling"), F.max("_pieces").alias("_pieces")), "pagerank-ranks")
-            if rounds is None:
-                change = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("previous")))).first()[0]
-                if change < n * tolerance:
-                    break
+            after = received.union(kept).groupBy("user").agg(
+                (F.sum("gain") * alpha + F.lit(base)).alias("rank"), F.max("previous").alias("previous"),
+                F.max("dangling").alias("dangling"), F.max("_pieces").alias("_pieces"))
+            seen = Observation()
+            ranks = stage(after.observe(
+                seen, F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("lost"),
+                F.sum(F.abs(F.col("rank") - F.col("previous"))).alias("change")), "pagerank-ranks")
+            lost = seen.get["lost"]
+            if rounds is None and seen.get["change"] < n * tolerance:
+                break
     finally:
         links.unpersist()
     return ranks.select("user", F.col("rank").alias("pagerank"))
