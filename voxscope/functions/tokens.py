@@ -23,7 +23,10 @@ def tokenize(text: Column, min_len: int = 2, phrases: Iterable[str] = (),
         tokens = F.filter(segmenter(text), lambda t: F.length(t) >= min_len)
     else:
         kept = sorted({p for p in phrases if len(p) >= min_len}, key=lambda p: (-len(p), p))
-        choices = [re.escape(p) for p in kept] + [f"{c}{{{min_len},}}" for c in (LATIN, HAN)]
+        escaped = [re.escape(p) for p in kept]
+        # A Han run ends where a phrase begins, so that phrases are found inside running text.
+        han = f"(?:(?!{'|'.join(escaped)}){HAN})" if kept else HAN
+        choices = [*escaped, f"{LATIN}{{{min_len},}}", f"{han}{{{min_len},}}"]
         runs = F.regexp_extract_all(text, F.lit("(" + "|".join(choices) + ")"), F.lit(1))
         # Only text with a longer Han run needs cutting; everything else is tokens already.
         cut = F.flatten(F.transform(runs, lambda run: _split_run(run, kept)))

@@ -30,8 +30,10 @@ def payload_records(text: Column, record: T.StructType | str, wrappers: Sequence
         is_list = F.json_array_length(inner).isNotNull()
         records = F.when(F.array_contains(keys, key),
                          F.when(is_list, F.from_json(inner, many)).otherwise(nothing)).otherwise(records)
-    return (F.when(F.json_array_length(text).isNotNull(), F.from_json(text, many))
-            .when(keys.isNotNull(), records))
+    # Inside brackets, anything left over after the first value makes the array longer or invalid.
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    return (F.when(alone & F.json_array_length(text).isNotNull(), F.from_json(text, many))
+            .when(alone & keys.isNotNull(), records))
 
 
 def explode_payloads(df: DataFrame, payload: str, record: T.StructType | str) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +46,20 @@ def _previous(spark: SparkSession, path: str, batch_id: int, empty: T.StructType
     return spark.read.schema(empty).parquet(_version(path, batch_id - 1))
 
 
+def _newest(spark: SparkSession, path: str, last: int, schema: T.StructType) -> DataFrame:
+    """The newest version; looked up when this run had nothing to do."""
+    if last < 0:
+        stored = T.StructType([*schema.fields, T.StructField("version", T.IntegerType())])
+        try:
+            versions = spark.read.schema(stored).option("basePath", path).parquet(os.path.join(path, "version=*"))
+        except AnalysisException:
+            return spark.createDataFrame([], schema)
+        last = versions.agg(F.max("version")).first()[0]
+        if last is None:
+            return spark.createDataFrame([], schema)
+    return _previous(spark, path, last + 1, schema)
+
+
 def stream_upsert(stream: DataFrame, path: str, keys: list[str], order: list[str],
                   update: list[str] | None = None) -> Callable[[], DataFrame]:
     """Merge each batch into a versioned table; call the result to read the newest version.
@@ -61,7 +77,7 @@ def stream_upsert(stream: DataFrame, path: str, keys: list[str], order: list[str
         last[0] = batch_id
 
     run(stream.writeStream.foreachBatch(merge_batch), os.path.join(path, "_checkpoint"))
-    return lambda: _previous(stream.sparkSession, path, last[0] + 1, schema)
+    return lambda: _newest(stream.sparkSession, path, last[0], schema)
 
 
 def stream_daily_trend(stream: DataFrame, ts: str = "create_time", score: str = "sentiment_score",
@@ -121,12 +137,14 @@ def stream_burst_filter(stream: DataFrame, path: str, max_gap: float, max_length
 
     def filter_batch(batch: DataFrame, batch_id: int) -> None:
         before = _previous(batch.sparkSession, state_path, batch_id, state_schema)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         rows = batch.withColumn("_old", F.lit(False)).unionByName(
             before.withColumn("_old", F.lit(True)), allowMissingColumns=True)
         kept = burst_spam_filter(rows, max_gap, max_length, user, ts, text, tie)
         kept.filter("NOT _old").drop("_old").write.mode("overwrite").parquet(_version(kept_path, batch_id))
         (batch.select(user, ts).unionByName(before).groupBy(user).agg(F.max(ts).alias(ts))
          .write.mode("overwrite").parquet(_version(state_path, batch_id)))
+        batch.unpersist()
 
     run(stream.writeStream.foreachBatch(filter_batch), os.path.join(path, "_checkpoint"))
     return lambda: stream.sparkSession.read.schema(schema).parquet(os.path.join(kept_path, "version=*"))
