@@ -251,13 +251,13 @@ def _(t):
      "FROM documents) GROUP BY term")
 def _(t):
     stops = t.documents.select(F.col("lang").alias("term")).distinct()
-    return aggregates.word_frequency(t.documents.select(tokenize(F.col("text")).alias("words")), stop_words=stops)
+    return aggregates.word_frequency(t.spread_documents.select(tokenize(F.col("text")).alias("words")), stop_words=stops)
 
 
 @add("most_frequent_terms", "SELECT term, count(*) AS count FROM (SELECT unnest("
      + FILTERED_SQL.format("text") + ") AS term FROM documents) AS w GROUP BY term ORDER BY 2 DESC, 1 LIMIT 150")
 def _(t):
-    words = t.documents.select(drop_stop_words(tokenize(F.col("text")), STOPS).alias("words"))
+    words = t.spread_documents.select(drop_stop_words(tokenize(F.col("text")), STOPS).alias("words"))
     return topk.most_frequent_terms(aggregates.word_frequency(words))
 
 
@@ -265,7 +265,7 @@ def _(t):
  FROM documents) SELECT term, count(*) AS count, count(DISTINCT doc_id) AS doc_count FROM w GROUP BY term
  HAVING count(DISTINCT doc_id) >= 2 ORDER BY 2 DESC, 1 LIMIT 2000""")
 def _(t):
-    words = t.documents.select(drop_stop_words(tokenize(F.col("text")), STOPS).alias("words"))
+    words = t.spread_documents.select(drop_stop_words(tokenize(F.col("text")), STOPS).alias("words"))
     return mining.vocabulary(words, size=2000, min_df=2)
 
 

@@ -102,6 +102,11 @@ class Tables:
             _STORED[key] = stage(spread, name)
         return _STORED[key]
 
+    @property
+    def spread_documents(self) -> DataFrame:
+        """Documents over all cores, for heavy work per text; the table may be a single file."""
+        return self.documents.repartition("doc_id")
+
     @cached_property
     def comments(self) -> DataFrame:
         return self._derived("comments")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.tokens import drop_stop_words, tokenize
 from ..operators import aggregates, mining
 from ..plans import topics
+from ..session import stage
 from .base import Registry, with_comments
 from .scalar import FILTERED_SQL, STOPS, TOKENS_SQL, TRAINING_NET, training_score
 
@@ -16,7 +17,7 @@ add = registry.add
 
 
 def _words(t):
-    return t.documents.select("doc_id", drop_stop_words(tokenize(F.col("text")), STOPS).alias("words"))
+    return t.spread_documents.select("doc_id", drop_stop_words(tokenize(F.col("text")), STOPS).alias("words"))
 
 
 _TERMS = f"t AS (SELECT doc_id, unnest({FILTERED_SQL.format('text')}) AS term FROM documents)"
@@ -26,7 +27,7 @@ _COUNTS = f"""{_TERMS}, vocab AS (SELECT term, count(*) AS n FROM t GROUP BY ter
 
 
 def _counts(t):
-    words = _words(t)
+    words = stage(_words(t), "words")
     return mining.term_counts(words, "doc_id", vocab=mining.vocabulary(words, size=300, min_df=5))
 
 
@@ -45,7 +46,7 @@ def _(t):
  FROM c GROUP BY term) SELECT doc_id, term, tf, round(idf, 6) AS idf, round(tf * idf, 6) AS tfidf
  FROM c JOIN df USING (term)""")
 def _(t):
-    weights = mining.tfidf(_counts(t), "doc_id", t.documents.agg(F.count("*")).scalar())
+    weights = mining.tfidf(stage(_counts(t), "counts"), "doc_id", t.documents.agg(F.count("*")).scalar())
     return weights.select("doc_id", "term", "tf", F.round("idf", 6).alias("idf"), F.round("tfidf", 6).alias("tfidf"))
 
 
@@ -54,7 +55,7 @@ def _(t):
  AS weight FROM t JOIN vocab USING (term) GROUP BY doc_id""")
 def _(t):
     # MLlib vectors over every term found in at least five documents.
-    counted, _model = mining.count_vectorize(_words(t), size=1 << 18, min_df=5.0)
+    counted, _model = mining.count_vectorize(stage(_words(t), "words"), size=1 << 18, min_df=5.0)
     vectors = mining.idf_weight(counted).select("doc_id", vector_to_array("features").alias("v"))
     total = F.aggregate("v", F.lit(0.0), lambda a, x: a + x)
     return vectors.select("doc_id", F.round(total, 4).alias("weight")).filter("weight > 0")
@@ -62,7 +63,7 @@ def _(t):
 
 @add("hashing_tf", f"SELECT doc_id, CAST(len({TOKENS_SQL.format('text')}) AS DOUBLE) AS tokens FROM documents")
 def _(t):
-    hashed = mining.hashing_tf(t.documents.select("doc_id", tokenize(F.col("text")).alias("words")))
+    hashed = mining.hashing_tf(t.spread_documents.select("doc_id", tokenize(F.col("text")).alias("words")))
     counts = F.aggregate(vector_to_array("raw_features"), F.lit(0.0), lambda a, x: a + x)
     return hashed.select("doc_id", counts.alias("tokens"))
 
@@ -122,10 +123,14 @@ _LABELLED = f"""SELECT comment_id, CASE WHEN {TRAINING_NET} > 0 THEN 1e0 ELSE 0e
  {TOKENS_SQL.format('content')} AS words FROM comments WHERE {TRAINING_NET} <> 0"""
 
 
+def _labelled(t):
+    return stage(topics.labelled_rows(t.comments).select("label", "words"), "labelled")
+
+
 @add("naive_bayes_priors", with_comments(f""", r AS ({_LABELLED}) SELECT label, round(ln(count(*) + 1e0)
  - ln((SELECT count(*) FROM r) + (SELECT count(DISTINCT label) FROM r)), 6) AS log_prior FROM r GROUP BY label"""))
 def _(t):
-    priors, _thetas = mining.naive_bayes_parameters(topics.labelled_rows(t.comments))
+    priors, _thetas = mining.naive_bayes_parameters(_labelled(t))
     return priors.select("label", F.round("log_prior", 6).alias("log_prior"))
 
 
@@ -135,7 +140,7 @@ def _(t):
  SELECT g.label, g.term, round(ln(coalesce(c.tf, 0) + 1e0) - ln(g.total + (SELECT count(DISTINCT term) FROM w)), 6)
  AS log_theta FROM g LEFT JOIN c USING (label, term)"""))
 def _(t):
-    _priors, thetas = mining.naive_bayes_parameters(topics.labelled_rows(t.comments))
+    _priors, thetas = mining.naive_bayes_parameters(_labelled(t))
     return thetas.select("label", "term", F.round("log_theta", 6).alias("log_theta"))
 
 

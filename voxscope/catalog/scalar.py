@@ -289,7 +289,7 @@ _PHRASES = {"of the": "function", "in the": "function", "AI裁员": "社会事
   'AI裁员|of the|in the|[0-9A-Za-z\\x{c0}-\\x{24f}]+|[\\x{4e00}-\\x{9fff}]+')) AS w FROM documents) AS s
  WHERE length(w) >= 2 GROUP BY ALL""".replace("\\\\", "\\"))
 def _(t):
-    words = t.documents.select(F.explode(tokens.tokenize(F.col("text"), phrases=_PHRASES)).alias("term"))
+    words = t.spread_documents.select(F.explode(tokens.tokenize(F.col("text"), phrases=_PHRASES)).alias("term"))
     counts = words.groupBy("term").agg(F.count("*").alias("n"))
     return counts.select("term", tokens.phrase_group(F.col("term"), _PHRASES).alias("phrase_group"), "n")
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import mention_target, normalise_mention
-from ..session import stage
+from ..session import stage, stage_path
 
 
 def build_reply_edges(df: DataFrame, author: str = "nickname", text: str = "content",
@@ -68,7 +68,9 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tolerance: float = 1e-6, max
                          (F.col("_links") == 0).alias("dangling"), "_pieces")
     lost = ranks.filter("dangling").count() / n
     try:
-        for _ in range(rounds if rounds is not None else max_rounds):
+        # A round reads the table of the round before and replaces the one before that.
+        tables = [stage_path(spark, "pagerank-ranks") for _ in range(2)]
+        for done in range(rounds if rounds is not None else max_rounds):
             spread = ranks.select(F.col("user").alias("src"), "rank", F.explode(
                 F.sequence(F.lit(0), F.col("_pieces") - 1)).alias("piece"))
             received = links.join(spread, ["src", "piece"]).select(
@@ -84,7 +86,7 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tolerance: float = 1e-6, max
             seen = Observation()
             ranks = stage(after.observe(
                 seen, F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("lost"),
-                F.sum(F.abs(F.col("rank") - F.col("previous"))).alias("change")), "pagerank-ranks")
+                F.sum(F.abs(F.col("rank") - F.col("previous"))).alias("change")), "", tables[done % 2])
             lost = seen.get["lost"]
             if rounds is None and seen.get["change"] < n * tolerance:
                 break

@@ -56,6 +56,7 @@ def term_counts(df: DataFrame, doc: str, tokens: str = "words", vocab: DataFrame
 def tfidf(counts: DataFrame, doc: str, documents: int | Column) -> DataFrame:
     """(doc, term, tf, idf, tfidf) with idf = ln((m + 1) / (df + 1)).
 
+    ``counts`` is read twice; stage it first.
     ``documents`` is m.  Document frequencies are joined back by term; a very common term is a
     hot key of that join and is split by the adaptive skew join when the term table is too
     large to broadcast.

@@ -13,6 +13,7 @@ from ..functions import numbers
 from ..functions.sentiment import sentiment_net
 from ..functions.tokens import drop_stop_words, tokenize
 from ..operators import aggregates, filters, mining
+from ..session import stage
 
 
 @dataclass
@@ -37,17 +38,20 @@ def topic_clusters(df: DataFrame, key: str, text: str = "content", k: int = 4, s
                    min_df: float = 5.0, stop_words=None, points: bool = False) -> Topics:
     """Cluster texts by their weighted terms.
 
-    Tokens are kept as a frame partitioned and sorted by key, so that the seeded start, and with
-    it the clusters, do not depend on how the input was laid out.
+    Rows are partitioned and sorted by key first, so that the seeded start, and with it the
+    clusters, do not depend on how the input was laid out.  Texts are cut into tokens once; the
+    term vectors are stored, and everything after reads the stored vectors.
     """
-    words = mining.repeatable(tokenized(filters.drop_missing(df, [text]), text, stop_words).select(key, "words"), key)
-    with mining.persisted(words) as kept:
-        counted, vocabulary = mining.count_vectorize(kept, size=size, min_df=min_df)
-        weighted = mining.idf_weight(counted).select(key, "features")
-        with mining.persisted(weighted) as features:
-            rows, model = mining.kmeans(features, k, seed)
-            if points:
-                rows = mining.pca_points(rows)
+    spread = mining.repeatable(filters.drop_missing(df, [text]).select(key, text), key)
+    with mining.persisted(tokenized(spread, text, stop_words).select(key, "words")) as words:
+        counted, vocabulary = mining.count_vectorize(words, size=size, min_df=min_df)
+        vectors = stage(counted.select(key, "raw_features"), "topic-vectors")
+    weighted = mining.idf_weight(mining.repeatable(vectors, key)).select(key, "features")
+    with mining.persisted(weighted) as features:
+        _, model = mining.kmeans(features, k, seed)
+    rows = model.transform(weighted)
+    if points:
+        rows = mining.pca_points(rows)
     columns = [key, "cluster_id", *(["x", "y"] if points else [])]
     keywords = mining.top_terms_per_cluster(model.clusterCenters(), vocabulary.vocabulary, df)
     return Topics(rows.select(columns), vocabulary.vocabulary, keywords)
@@ -73,12 +77,13 @@ def train_classifier(df: DataFrame, key: str, text: str = "content", positive=fv
     """(model, predictions on the test rows, accuracy).
 
     Labels come from words that are also features, so the accuracy measures self-consistency.
+    The term counts are stored once; weighting, training and prediction read them.
     """
     rows = labelled_rows(df, text, positive, negative).select(key, "words", "label")
-    vectors = mining.idf_weight(mining.hashing_tf(rows, features=features)).select(key, "label", "features")
-    with mining.persisted(vectors) as kept:
-        train, test = mining.random_split(kept, key)
-        model = mining.naive_bayes(train)
+    counts = stage(mining.hashing_tf(rows, features=features).select(key, "label", "raw_features"), "hashed-terms")
+    vectors = mining.idf_weight(counts).select(key, "label", "features")
+    train, test = mining.random_split(vectors, key)
+    model = mining.naive_bayes(train)
     predictions = model.transform(test)
     return model, predictions, aggregates.accuracy(predictions)
 

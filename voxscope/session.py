@@ -57,12 +57,13 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "voxscope", f"{name}-{uuid.uuid4().hex}")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the checkpoint root and read it back.
 
     This cuts lineage durably: a lost executor costs the tasks it ran, never the stages before
     the table.  Being columnar, the table also gives later readers column pruning and pushdown.
+    ``path`` replaces an earlier table of a loop, which ``df`` must not read.
     """
-    path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    path = path or stage_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
