@@ -78,6 +78,29 @@ def test_caps_on_a_hot_key(spark):
     assert sorted(r.id for r in got.collect()) == want
 
 
+@pytest.mark.parametrize("n", [3, 1500])
+def test_cap_of_a_hot_group(spark, n):
+    df = spark.range(6000).select(F.col("id"), F.when(F.col("id") % 3 != 0, "hot").otherwise("cold").alias("k"))
+    got = topk.cap_per_group(df, "k", ["id"], n).groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("m"))
+    want = {"hot": (n, [i for i in range(6000) if i % 3][n - 1]), "cold": (n, 3 * (n - 1))}
+    assert {r.k: (r.n, r.m) for r in got.collect()} == want
+
+
+def test_parents_hand_down_columns(spark):
+    rows = [("1", "0", "n1"), ("2", "1", "n9"), ("3", "404", "n3"), ("4", None, "n4")]
+    df = spark.createDataFrame(rows, "comment_id string, parent_comment_id string, note_id string")
+    got = {r.comment_id: r.note_id for r in joins.inherit_parent(df, ["note_id"]).collect()}
+    assert got == {"1": "n1", "2": "n1", "3": "n3", "4": "n4"}
+
+
+def test_a_segmenter_of_your_own(spark):
+    from voxscope.functions.tokens import tokenize
+
+    df = spark.createDataFrame([("很 满意 的 服务",)], "t string")
+    words = df.select(tokenize(F.col("t"), segmenter=lambda c: F.split(c, " ")).alias("w")).first().w
+    assert words == ["满意", "服务"]
+
+
 def dense_pagerank(edges, alpha=0.85, rounds=200):
     nodes = sorted({n for s, d, _ in edges for n in (s, d)})
     index = {n: i for i, n in enumerate(nodes)}

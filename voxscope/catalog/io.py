@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.tokens import tokenize
+from ..operators.aggregates import word_frequency
 from ..session import stage_path
 from ..sources import csv_safe, sinks
+from ..sources.word_lists import read_stop_words
 from .base import Registry, with_comments
 
 registry = Registry()
@@ -81,6 +84,17 @@ _register_append("append_json", sinks.append_json, lambda spark, path: spark.rea
     "comment_id bigint, nickname string, platform string, crawl_type string, item string, dt date").json(path))
 
 
+@add("stop_words", """SELECT term, count(*) AS count FROM (SELECT unnest(regexp_extract_all(text,
+ '[0-9A-Za-z\\x{c0}-\\x{24f}]{2,}|[\\x{4e00}-\\x{9fff}]{2,}')) AS term FROM documents) AS w
+ WHERE term NOT IN (SELECT DISTINCT lang FROM documents UNION SELECT 'the') GROUP BY term""")
+def _(t):
+    path = stage_path(t.spark, "stop-words")
+    words = t.documents.select("lang").unionByName(t.spark.createDataFrame([("the",), ("",)], "lang string"))
+    words.distinct().write.text(path)
+    tokens = t.spread_documents.select(tokenize(F.col("text")).alias("words"))
+    return word_frequency(tokens, stop_words=read_stop_words(t.spark, path))
+
+
 @add("upsert_sink", with_comments("""SELECT note_id, nickname, like_count, comment_id FROM comments
  QUALIFY row_number() OVER (PARTITION BY note_id ORDER BY late DESC, comment_id DESC) = 1""").replace(
      "FROM comments\n QUALIFY", "FROM (SELECT *, create_time >= TIMESTAMP '2024-01-16 00:00:00' AS late "

@@ -57,7 +57,8 @@ def _(t):
 
 @add("inherit_parent", with_comments("""SELECT c.comment_id, coalesce(p.note_id, c.note_id) AS note_id,
  coalesce(p.source_keyword, c.source_keyword) AS source_keyword
- FROM comments c LEFT JOIN comments p ON p.comment_id = c.parent_comment_id"""))
+ FROM comments c LEFT JOIN comments p ON p.comment_id = c.parent_comment_id
+ AND c.parent_comment_id <> 0"""))
 def _(t):
     rows = t.comments.select("comment_id", "parent_comment_id", "note_id", "source_keyword")
     return joins.inherit_parent(rows, ["note_id", "source_keyword"]).select("comment_id", "note_id", "source_keyword")

@@ -389,3 +389,11 @@ def _(t):
     good, bad = filters.consistent_fk(rows, "p_size", "quantity")
     cols = ["l_orderkey", "l_linenumber"]
     return good.select(*cols, F.lit(True).alias("accepted")).union(bad.select(*cols, F.lit(False)))
+
+
+add("nonempty_tokens", f"SELECT doc_id FROM documents WHERE len({TOKENS_SQL.format('text')}) > 0")(
+    lambda t: filters.nonempty_tokens(t.documents.select(
+        "doc_id", tokens.tokenize(F.col("text")).alias("words"))).select("doc_id"))
+add("node_display_size", "SELECT c_custkey, round(c_acctbal / 10000 * 80000, 2) AS size FROM customer")(
+    lambda t: t.customer.select("c_custkey", F.round(numbers.node_display_size(
+        F.col("c_acctbal") / 10000), 2).alias("size")))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import is_reply
 from .aggregates import exact_quantile, user_activity
 from .topk import top_nodes
 
@@ -54,8 +55,11 @@ def inherit_parent(comments: DataFrame, columns: list[str], key: str = "comment_
                    parent: str = "parent_comment_id") -> DataFrame:
     """Replies take the given columns from their parent; without a parent they keep their own."""
     parents = comments.select(F.col(key).alias(parent), *[F.col(c).alias(f"_parent_{c}") for c in columns])
-    joined = comments.join(parents, parent, "left")
-    return joined.withColumns({c: F.coalesce(f"_parent_{c}", c) for c in columns}).select(*comments.columns)
+    # Comments without a parent share one key, mostly the hottest of all; they skip the join.
+    has_parent = is_reply(F.col(parent))
+    joined = comments.filter(has_parent).join(parents, parent, "left")
+    replies = joined.withColumns({c: F.coalesce(f"_parent_{c}", c) for c in columns}).select(*comments.columns)
+    return comments.filter(~has_parent).unionByName(replies)
 
 
 def comment_to_post(comments: DataFrame, posts: DataFrame, how: str = "inner", key: str = "note_id") -> DataFrame:

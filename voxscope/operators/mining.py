@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 
 @contextmanager
 def persisted(df: DataFrame):
@@ -68,13 +70,16 @@ def tfidf(counts: DataFrame, doc: str, documents: int | Column) -> DataFrame:
 
 def naive_bayes_parameters(df: DataFrame, label: str = "label", tokens: str = "words",
                            smoothing: float = 1.0) -> tuple[DataFrame, DataFrame]:
-    """Multinomial naive Bayes by counting: (label, log_prior) and (label, term, log_theta)."""
+    """Multinomial naive Bayes by counting: (label, log_prior) and (label, term, log_theta).
+
+    ``df`` is read twice; stage it first when it is expensive.
+    """
     classes = df.groupBy(label).agg(F.count("*").alias("_n"))
     total, kinds = classes.agg(F.sum("_n")).scalar(), classes.agg(F.count("*")).scalar()
     priors = classes.select(label, (F.log(F.col("_n") + smoothing)
                                     - F.log(total + kinds * smoothing)).alias("log_prior"))
-    counts = (df.select(label, F.explode(tokens).alias("term")).groupBy("term", label)
-              .agg(F.count("*").alias("_tf")))
+    counts = stage(df.select(label, F.explode(tokens).alias("term")).groupBy("term", label)
+                   .agg(F.count("*").alias("_tf")), "class-terms")
     terms = counts.select("term").distinct()
     per_class = counts.groupBy(label).agg(F.sum("_tf").alias("_sum"))
     v = terms.agg(F.count("*")).scalar()

@@ -8,18 +8,34 @@ from pyspark.sql import functions as F
 
 def latest_per_key(df: DataFrame, keys: list[str] | str, order: list[str]) -> DataFrame:
     """The last written row per key."""
-    return cap_per_group(df, keys, [F.col(c).desc() for c in order], 1)
+    keys = [keys] if isinstance(keys, str) else keys
+    w = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def cap_per_group(df: DataFrame, keys: list[str] | str, order: list[str | Column], n: int) -> DataFrame:
-    """The first ``n`` rows per group, e.g. 20 comments per post.
+# Up to this many rows per group Spark limits groups inside the map tasks by itself
+# (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
+
+
+def _rank(df: DataFrame, keys: list[str], order: list[str | Column], n: int, pieces: int = 64) -> DataFrame:
+    """Rows with ``_rn`` from 1 to ``n`` per group.
 
-    Spark limits each group inside the map tasks before the shuffle.  It does so up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` rows (default 1000).
+    A larger ``n`` is not limited before the shuffle, so a hot group is first cut into pieces
+    of which each keeps its own first ``n``.
     """
-    keys = [keys] if isinstance(keys, str) else keys
+    if n > GROUP_LIMIT:
+        piece = F.pmod(F.xxhash64(*order), F.lit(pieces))
+        inside = Window.partitionBy(*keys, "_piece").orderBy(*order)
+        df = (df.withColumn("_piece", piece).withColumn("_rn", F.row_number().over(inside))
+              .filter(F.col("_rn") <= n).drop("_piece", "_rn"))
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
+
+
+def cap_per_group(df: DataFrame, keys: list[str] | str, order: list[str | Column], n: int) -> DataFrame:
+    """The first ``n`` rows per group, e.g. 20 comments per post."""
+    return _rank(df, [keys] if isinstance(keys, str) else keys, order, n).drop("_rn")
 
 
 def cap_per_day_and_total(df: DataFrame, keyword: str, ts: str, order: list[str], per_day: int,
@@ -34,8 +50,7 @@ def cap_per_day_and_total(df: DataFrame, keyword: str, ts: str, order: list[str]
     room = (days.groupBy(keyword, "_day").agg(F.least(F.count("*"), F.lit(per_day)).alias("_n"))
             .withColumn("_room", F.lit(total) - F.coalesce(F.sum("_n").over(running), F.lit(0)))
             .filter("_room > 0").select(keyword, "_day", "_room"))
-    ranked = (days.withColumn("_rn", F.row_number().over(Window.partitionBy(keyword, "_day").orderBy(*order)))
-              .filter(F.col("_rn") <= per_day))
+    ranked = _rank(days, [keyword, "_day"], order, per_day)
     return (ranked.join(room, [keyword, "_day"]).filter(F.col("_rn") <= F.col("_room"))
             .select(*df.columns))
 

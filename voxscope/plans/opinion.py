@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions.sentiment import sentiment_net
 from ..operators import aggregates, filters, graph, merge, topk
-from ..operators.mining import persisted
+from ..session import stage
 
 
 def scored(df: DataFrame, positive=fv.TREND_POSITIVE, negative=fv.TREND_NEGATIVE, text: str = "content") -> DataFrame:
@@ -40,10 +40,8 @@ def merge_update(old: DataFrame | None, new: DataFrame | None, order: list[str]
 def opinion_leaders(df: DataFrame, author: str = "nickname", text: str = "content",
                     rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(all nodes with PageRank, the 500 heaviest edges) of the reply network."""
-    edges = filters.drop_null_edges(graph.edge_weights(graph.build_reply_edges(df, author, text)))
-    with persisted(edges) as kept:
-        ranks = graph.pagerank(kept, rounds=rounds)
-    return ranks, topk.top_edges(edges)
+    edges = stage(filters.drop_null_edges(graph.edge_weights(graph.build_reply_edges(df, author, text))), "edges")
+    return graph.pagerank(edges, rounds=rounds), topk.top_edges(edges)
 
 
 def display_network(ranks: DataFrame, edges: DataFrame, nodes: int = 50, limit: int = 100) -> DataFrame:
