@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedup, merge, topk
 from ..plans import opinion
+from ..session import stage
 from .base import Registry, with_comments
 from .text import MENTION_SQL
 
@@ -128,8 +129,9 @@ def _schemas(t):
     # One frame is read from the stored documents, the other from what a new version would store.
     actual = t.documents.select("lang", F.to_json(F.struct("doc_id", "text", "source", "n_chars")).alias("j"))
     extra = t.conversations.select(F.lit("chat").alias("lang"), F.to_json(F.struct("role", "turn")).alias("j"))
-    return (merge.observed_schema(actual, "lang", "j"),
-            merge.observed_schema(declared.unionByName(extra), "lang", "j"))
+    # Schemas are tiny and read several times; the records behind them are not.
+    return (stage(merge.observed_schema(actual, "lang", "j"), "actual-schema"),
+            stage(merge.observed_schema(declared.unionByName(extra), "lang", "j"), "declared-schema"))
 
 
 _LANGS = "(SELECT DISTINCT lang AS \"table\" FROM documents) AS l"
