@@ -24,24 +24,33 @@ def _ranks(t):
                              (F.col("c_acctbal") / 10000).alias("pagerank"))
 
 
+_ACTIVE_SQL = f"{_RANKS_SQL} WHERE c_custkey IN (SELECT user_id FROM events)"
+
+
+def _active(t):
+    """Scores of the customers who write."""
+    writers = t.events.select(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user"))
+    return _ranks(t).join(writers, "user", "left_semi")
+
+
 def _edges(t):
     return graph.edge_weights(graph.build_reply_edges(t.comments))
 
 
-@add("edges_touching_top_nodes", with_comments(f""", e AS ({EDGES_SQL}), best AS ({_RANKS_SQL}
+@add("edges_touching_top_nodes", with_comments(f""", e AS ({EDGES_SQL}), best AS ({_ACTIVE_SQL}
  ORDER BY pagerank DESC, user LIMIT 50) SELECT src, dst, weight FROM e
  WHERE src IN (SELECT user FROM best) OR dst IN (SELECT user FROM best)
  ORDER BY weight DESC, src, dst LIMIT 100"""))
 def _(t):
-    return joins.edges_touching_top_nodes(_edges(t), _ranks(t))
+    return joins.edges_touching_top_nodes(_edges(t), _active(t))
 
 
-@add("display_network", with_comments(f""", e AS ({EDGES_SQL}), best AS ({_RANKS_SQL}
+@add("display_network", with_comments(f""", e AS ({EDGES_SQL}), best AS ({_ACTIVE_SQL}
  ORDER BY pagerank DESC, user LIMIT 20) SELECT src, dst, weight FROM e
  WHERE (src IN (SELECT user FROM best) OR dst IN (SELECT user FROM best))
  AND regexp_matches(dst, '[一-龥a-zA-Z0-9]') ORDER BY weight DESC, src, dst LIMIT 40"""))
 def _(t):
-    return opinion.display_network(_ranks(t), _edges(t), 20, 40)
+    return opinion.display_network(_active(t), _edges(t), 20, 40)
 
 
 @add("node_score_lookup", f"""SELECT u.user, round(coalesce(r.pagerank, 0.001), 6) AS pagerank,
