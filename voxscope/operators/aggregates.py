@@ -108,7 +108,8 @@ def minmax_normalise(df: DataFrame, column: str, out: str) -> DataFrame:
 
 def word_frequency(df: DataFrame, tokens: str = "words", stop_words: DataFrame | None = None) -> DataFrame:
     """Occurrences per token; rows of the ``term`` column of ``stop_words`` are left out."""
-    terms = df.select(F.explode(tokens).alias("term"))
+    # A plain explode makes Spark filter out empty arrays first, which repeats the tokenizing.
+    terms = df.select(F.explode_outer(tokens).alias("term")).filter("term IS NOT NULL")
     counts = terms.groupBy("term").agg(F.count("*").alias("count"))
     # Few distinct terms are left after counting, so the anti join moves little data.
     return counts.join(stop_words.select("term"), "term", "left_anti") if stop_words is not None else counts
