@@ -5,11 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..catalog.base import Registry, Tables
+from .quality_rules import quality_rules
+from .simhash import near_duplicates
 from .substring_dedup import remove_repeats
+from .url_rules import judge_urls
 
 registry = Registry()
 
 
+@registry.add("op3_quality_rules")
+def _(t: Tables) -> DataFrame:
+    return quality_rules(t.documents).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@registry.add("op5_simhash")
+def _(t: Tables) -> DataFrame:
+    return near_duplicates(t.documents).select("doc_id", "fingerprint", "component_id")
+
+
+@registry.add("op6_url_rules")
+def _(t: Tables) -> DataFrame:
+    return judge_urls(t.pages).select("row.page_id", "host", "path", "rule", "verdict")
+
+
 @registry.add("op8_substring_dedup")
 def _(t: Tables) -> DataFrame:
     return remove_repeats(t.documents).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
