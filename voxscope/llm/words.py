@@ -20,6 +20,8 @@ BLANKS = r"[\x20\x09-\x0D]+"
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
+#: Only letters, digits and what is beyond ASCII belong to words.
+PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _PRIME, _A, _B = (np.uint64(x) for x in (0x100000001B3, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93))
 _LONG_WORD = 64
 
@@ -49,13 +51,14 @@ class Words:
     rows: int
 
     @staticmethod
-    def of(texts: pa.ChunkedArray | pa.Array) -> Words:
+    def of(texts: pa.ChunkedArray | pa.Array, between: np.ndarray = _BLANK) -> Words:
+        """``between`` marks the bytes that part words."""
         data, offsets = text_bytes(texts)
         rows = len(offsets) - 1
         if not len(data):
             none = np.zeros(0, dtype=np.int64)
             return Words(data, none, none, none, rows)
-        blank = _BLANK[data]
+        blank = between[data]
         edge = np.zeros(len(data) + 1, dtype=bool)
         edge[offsets] = True
         first, last = ~blank, ~blank
