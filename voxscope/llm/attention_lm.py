@@ -29,7 +29,7 @@ DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BASE, WIDTH, BLOCK = 32, 16, 16  # ids have two digits of this base; numbers per vector; scored tokens per window
 EDGE = BASE * BASE - 1  # the id before and after every text
-SAMPLE_DOCS, STEPS, RATE, CHUNK_ROWS = 300, 300, 0.01, 2000
+SAMPLE_DOCS, STEPS, RATE, CHUNK_ROWS = 1000, 2000, 0.01, 2000
 _TOKENS_AT_ONCE = 1 << 13  # what the processor caches hold
 _LIMIT = np.float32(60)  # no score or logit is beyond; so exponentials need no shift by the maximum
 
@@ -78,7 +78,7 @@ class AttentionModel:
             "v": make(WIDTH, WIDTH), "o": make(WIDTH, WIDTH), "u": make(WIDTH, BASE), "ub": np.zeros(BASE, dtype=np.float32),
             "d": make(BASE, WIDTH), "w": make(WIDTH, BASE), "wb": np.zeros((BASE, BASE), dtype=np.float32)})
 
-    def train(self, sequences: list[np.ndarray], steps: int = STEPS, windows: int = 48, seed: int = 1) -> AttentionModel:
+    def train(self, sequences: list[np.ndarray], steps: int = STEPS, windows: int = 128, seed: int = 1) -> AttentionModel:
         """Adam on windows drawn at random from the sequences; the same on every run."""
         rng = np.random.default_rng(seed)
         blocks, targets, first = _blocks(sequences)
