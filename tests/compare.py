@@ -15,7 +15,7 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from voxscope.catalog import entries  # noqa: E402
+from __spark_entry__ import all_entries as entries  # noqa: E402
 from voxscope.catalog.base import NAMES, Tables  # noqa: E402
 
 
