@@ -10,6 +10,7 @@ from .decontaminate import find_leaks
 from .kneser_ney import classify_quality
 from .language_id import identify_languages
 from .mixing import mix_sources
+from .oracles import QUALITY_RULES, SUBSTRING_DEDUP, URL_RULES
 from .quality_rules import quality_rules
 from .simhash import near_duplicates
 from .substring_dedup import remove_repeats
@@ -29,7 +30,7 @@ def _(t: Tables) -> DataFrame:
     return count_tokens(t.documents).select("row.doc_id", "n_chars", "n_tokens", "n_unknown")
 
 
-@registry.add("op3_quality_rules")
+@registry.add("op3_quality_rules", QUALITY_RULES)
 def _(t: Tables) -> DataFrame:
     return quality_rules(t.documents).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -45,7 +46,7 @@ def _(t: Tables) -> DataFrame:
     return near_duplicates(t.documents).select("doc_id", "fingerprint", "component_id")
 
 
-@registry.add("op6_url_rules")
+@registry.add("op6_url_rules", URL_RULES)
 def _(t: Tables) -> DataFrame:
     return judge_urls(t.pages).select("row.page_id", "host", "path", "rule", "verdict")
 
@@ -55,7 +56,7 @@ def _(t: Tables) -> DataFrame:
     return classify_quality(t.documents, t.labels).select("doc_id", "lang", "perplexity", "kept")
 
 
-@registry.add("op8_substring_dedup")
+@registry.add("op8_substring_dedup", SUBSTRING_DEDUP)
 def _(t: Tables) -> DataFrame:
     return remove_repeats(t.documents).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
