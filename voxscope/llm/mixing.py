@@ -72,8 +72,8 @@ def balance(histogram: DataFrame, targets: DataFrame, cap: int = CAP) -> DataFra
     spark = histogram.sparkSession
     rounds = Rounds(spark, "mix-newton")
     sources = targets.count()
-    units = histogram.groupBy(F.col("source").alias("__s")).agg((F.sum(F.col("n") * F.col("size") * F.col("size")) / F.sum(
-        F.col("n") * F.col("size"))).alias("unit"))
+    units = histogram.where("size > 0").groupBy(F.col("source").alias("__s")).agg((F.sum(
+        F.col("n") * F.col("size") * F.col("size")) / F.sum(F.col("n") * F.col("size"))).alias("unit"))
     state = rounds.put(targets.join(_small(units, sources), F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s").select(
         "*", (F.col("target") >= cap * F.col("source_size")).alias("full"), F.lit(0.0).alias("multiplier"),
         F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"), (F.col("target") >= cap * F.col("source_size")).alias("done")))
@@ -91,7 +91,7 @@ def balance(histogram: DataFrame, targets: DataFrame, cap: int = CAP) -> DataFra
         low, high = F.when(over < 0, F.col("multiplier")).otherwise(F.col("low")), F.when(over > 0, F.col("multiplier")).otherwise(F.col("high"))
         moved = state.join(_small(sums, sources), F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
         step = moved.withColumns({"low": F.coalesce(low, "low"), "high": F.coalesce(high, "high")}).withColumn(
-            "__next", F.col("multiplier") - over / F.col("slope"))
+            "__next", F.col("multiplier") - F.try_divide(over, F.col("slope")))
         # Outside the bracket, halve it; while an end is still open, go twice as far from zero.
         middle = F.when(F.col("high") >= 1e6, F.greatest(F.lit(1.0), 2 * F.col("low"))).when(
             F.col("low") <= -1e6, F.least(F.lit(-1.0), 2 * F.col("high"))).otherwise((F.col("low") + F.col("high")) / 2)
@@ -118,7 +118,7 @@ def _picks(rated: DataFrame, solved: DataFrame, cap: int) -> DataFrame:
     top, none = float(cap), F.array().cast("array<struct<gap:double,shift:double>>")
     state = solved.select(F.col("source").alias("__s"), F.col("target").alias("wanted"), F.lit(-top).alias("shift"),
                           F.lit(float("inf")).alias("gap"), none.alias("picks"))
-    for number in range(_PICKS):
+    for _ in range(_PICKS):
         state = rounds.put(state.withColumns({"low": F.col("shift"), "width": top - F.col("shift")}))
         for _ in range(_ROUNDS):
             bins = _open(begins, state, sources).where("begin <= low + width").groupBy(
@@ -129,14 +129,18 @@ def _picks(rated: DataFrame, solved: DataFrame, cap: int) -> DataFrame:
             state = rounds.put(state.join(_small(under, sources), F.col("__s").eqNullSafe(F.col("__of")), "left").withColumns({
                 "wanted": F.col("wanted") - F.coalesce("tokens", F.lit(0)), "low": F.col("low") + F.coalesce(
                     "bin", F.lit(0)) * F.col("width") / _BINS, "width": F.col("width") / _BINS}).drop("__of", "bin", "tokens"))
-        shift = F.col("low")
-        if number == _PICKS - 1:  # the next copy is taken as well if that comes nearer
-            after = _open(begins, state, sources).groupBy(F.col("source").alias("__of")).agg(F.min(F.struct("begin", "size")).alias("first"))
-            state = state.join(_small(after, sources), F.col("__s").eqNullSafe(F.col("__of")), "left")
-            shift = F.when(F.col("first.size") < 2 * F.col("wanted"), F.col("first.begin")).otherwise(shift)
-        state = rounds.put(state.select("__s", "wanted", shift.alias("shift"), F.col("wanted").alias("gap"), F.concat(
-            "picks", F.array(F.struct("gap", shift.alias("shift")))).alias("picks")))
-    return stage(state.select("__s", "picks"), "mix-picks")
+        state = rounds.put(state.select("__s", "wanted", F.col("low").alias("shift"), F.col("wanted").alias("gap"), F.concat(
+            "picks", F.array(F.struct("gap", F.col("low").alias("shift")))).alias("picks")))
+    # One copy more if that comes nearer: of those small enough the first to begin.
+    more = begins.join(_small(state, sources), F.col("source").eqNullSafe(F.col("__s"))).where(F.col("size") < 2 * F.col("wanted")).where(
+        ~_taken(F.col("size"), F.col("begin"))).groupBy(F.col("source").alias("__of")).agg(F.min(F.struct("begin", "size")).alias("m"))
+    last = F.when(F.col("m").isNull(), F.col("picks")).otherwise(F.concat("picks", F.array(F.struct(
+        F.col("m.size").cast("double").alias("gap"), F.col("m.begin").alias("shift")))))
+    return stage(state.join(_small(more, sources), F.col("__s").eqNullSafe(F.col("__of")), "left").select("__s", last.alias("picks")), "mix-picks")
+
+
+def _taken(size: Column, begin: Column) -> Column:
+    return F.exists("picks", lambda p: (size <= p["gap"]) & (begin <= p["shift"]))
 
 
 def _open(begins: DataFrame, state: DataFrame, sources: int) -> DataFrame:
@@ -171,7 +175,6 @@ def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", wei
 
     picks = _picks(rated(slim).select("source", "size", "rate", "dither"), solved, cap)
     out = rated(sized).drop("__s").join(_small(picks, sources), F.col("source").eqNullSafe(F.col("__s")))
-    taken = F.filter(F.sequence(F.lit(1), F.lit(cap)), lambda k: F.exists("picks", lambda p: (F.col("size") <= p["gap"]) & (
-        k - F.col("rate") - F.col("dither") <= p["shift"])))
+    taken = F.filter(F.sequence(F.lit(1), F.lit(cap)), lambda k: _taken(F.col("size"), k - F.col("rate") - F.col("dither")))
     copies = F.when(F.col("size") > 0, F.size(taken)).otherwise(1).cast("long")
     return out.select("row", "size", "source_size", "target", "rate", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
