@@ -196,7 +196,7 @@ def _blocks(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
     ids, targets = np.full(begin[-1], EDGE, dtype=np.int64), np.full(begin[-1], -1, dtype=np.int64)
     if sequences:
         flat = np.concatenate([np.append(s, EDGE) for s in sequences])
-        place = np.arange(len(flat)) + np.repeat(begin[:-1] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+        place = np.arange(len(flat)) + np.repeat(begin[:-1] - np.cumsum(sizes) + sizes, sizes)
         targets[place] = flat
         inner = flat != EDGE  # an input is the target before
         ids[place[inner] + 1] = flat[inner]

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .words import PUNCTUATION, Words, joined, mixed, window_hashes
 
 SIMILARITY, WALKS, TABLES, SAMPLED, LONGEST_RUN, BLOCK_ITEMS = 0.8, 4, 16, 3, 3, 20_000
+LONGEST_ITEM = 128
 _END = np.uint64(0)  # beyond a text's last word
 _BATCH = 50_000
 _SCHEMA = "doc_id long, item_id long, start_word long, n_item_words long, distance long"
@@ -98,7 +99,14 @@ class Items:
     @staticmethod
     def of(ids: list[int], texts: list[str | None], similarity: float) -> Items:
         found = edit_words(pa.array(texts, pa.string()))
-        hashes, sizes = found.hashes(), found.counts()
+        hashes = found.hashes()
+        whole = found.counts()
+        # A long item is searched for by stretches, as even as can be.
+        parts = np.maximum(1, -(-whole // LONGEST_ITEM))
+        owner = np.repeat(np.arange(len(whole)), parts)
+        number = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+        sizes = whole[owner] // parts[owner] + (number < whole[owner] % parts[owner])
+        ids = [ids[i] for i in owner]
         first = np.concatenate([[0], np.cumsum(sizes)])
         members = {int(n): np.flatnonzero(sizes == n) for n in np.unique(sizes[sizes > 0])}
         words = {n: np.stack([hashes[first[i]:first[i] + n] for i in rows]) for n, rows in members.items()}
@@ -127,7 +135,7 @@ def _windows(hashes: np.ndarray, row: np.ndarray, begin: np.ndarray, items: Item
         low, high = np.searchsorted(keys, h[place], side="left"), np.searchsorted(keys, h[place], side="right")
         hit = high > low
         place, low, many = place[hit], low[hit], (high - low)[hit]
-        entry = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+        entry = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
         start = np.repeat(place, many) - offsets[entry]
         # A window may begin before its text does; the missing words are then none.
         number = np.repeat(row[place], many)
@@ -158,7 +166,7 @@ def leaks(texts: pa.ChunkedArray | pa.Array, items: Items, similarity: float) ->
             for (keys, order), key in zip(items.keys[n], table_keys(own)):
                 low, high = np.searchsorted(keys, key, side="left"), np.searchsorted(keys, key, side="right")
                 many = high - low
-                entry = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+                entry = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
                 pairs.append(np.stack([np.repeat(np.arange(len(own)), many), order[entry]], axis=1))
             pair = np.unique(np.concatenate(pairs), axis=0)
             for part in range(0, len(pair), 2000):
@@ -177,6 +185,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", simila
                block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(doc_id, item_id, start_word, n_item_words, distance): every document that holds an item, with its best passage.
 
+    Items of more than ``LONGEST_ITEM`` words are looked for by stretches of that size, any of which is a leak.
     Items without a word, and null texts, match nothing; documents shorter than an item match if they are near enough to
     it.  A repeated row gives its leaks again; a row without ``doc_id`` gives them with null.  Rows of the benchmark that
     repeat an ``item_id`` are items of their own.  Empty tables give an empty table.
