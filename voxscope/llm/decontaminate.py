@@ -215,4 +215,4 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, text: str = "text", simi
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col(text)))
     marked = docs.select(key.alias("doc_id"), F.col(text).alias("__text"))
     found = find_leaks(marked, benchmark, "__text", similarity).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, key == F.col("__id"), "left_anti")
+    return docs.join(found, F.coalesce(docs["doc_id"].cast("long"), F.xxhash64(docs[text])) == found["__id"], "left_anti")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .components import connected_components
+from .words import fresh
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
 _BLOCK = 1 << 16
@@ -116,7 +117,8 @@ def keep_one_per_group(docs: DataFrame, text: str = "text", shingle: int = SHING
     """
     found = near_duplicates(docs, text, shingle, max_bits)
     named = found.where("doc_id = component_id").select("doc_id").distinct()
-    nameless = found.where("doc_id IS NULL AND component_id IS NULL AND fp = head").select(F.col("fp").alias("__fp")).distinct()
-    others = docs.where("doc_id IS NULL").withColumn("__fp", simhash(F.col(text), shingle)).join(nameless, "__fp", "left_semi")
+    fp = fresh("fp", docs.columns)
+    nameless = found.where("doc_id IS NULL AND component_id IS NULL AND fp = head").select(F.col("fp").alias(fp)).distinct()
+    others = docs.where("doc_id IS NULL").withColumn(fp, simhash(F.col(text), shingle)).join(nameless, fp, "left_semi")
     return docs.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(
-        others.dropDuplicates(["__fp"]).drop("__fp"))
+        others.dropDuplicates([fp]).drop(fp).select(docs.columns))

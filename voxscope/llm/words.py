@@ -118,3 +118,11 @@ def chunk_number(docs: DataFrame, key: Column, rows_per_chunk: int) -> tuple[Col
     """
     chunks = max(1, -(-docs.count() // rows_per_chunk))
     return F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int"), chunks
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name`` with as many underscores as keep it apart from ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
