@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from voxscope.operators import aggregates, dedup, graph, joins, merge, mining, topk
 from voxscope.plans import cleaning, opinion, topics
-from voxscope.sources import csv_safe, json_records, sinks
+from voxscope.sources import csv_safe, json_records, platforms, sinks
 from voxscope.streaming import jobs
 
 
@@ -167,6 +167,76 @@ def test_json_files(spark, tmp_path):
     assert {r.file.rsplit("/", 1)[1] for r in quarantine.collect()} == {"broken.json", "extra.json"}
 
 
+def test_broken_array_files_are_set_aside(spark, tmp_path):
+    (tmp_path / "good.json").write_text('[{"id": 1}, {"id": 2}]')
+    (tmp_path / "cut.json").write_text('[{"id": 3}, {"id": 4}, {"id":')
+    records, quarantine = json_records.read_json_arrays(spark, str(tmp_path), "id bigint")
+    assert sorted(r.id for r in records.collect()) == [1, 2]
+    (broken,) = quarantine.collect()
+    assert broken.file.endswith("cut.json") and '"id": 4' in broken.payload
+
+
+def test_values_of_another_type_are_set_aside(spark):
+    rows = spark.createDataFrame([('[{"id": "x9", "c": "a"}, {"id": "7", "c": null}, {"id": 8}]',), ("nonsense",)], "payload string")
+    records, quarantine = json_records.explode_payloads(rows, "payload", "id bigint, c string")
+    assert sorted(r.id for r in records.collect()) == [7, 8]
+    assert sorted(r.payload for r in quarantine.collect()) == ["nonsense", '{"id":"x9","c":"a"}']
+
+
+def test_csv_keeps_blanks_at_the_ends(spark, tmp_path):
+    rows = [("1", "  padded text  "), ("2", "\ttab")]
+    df = spark.createDataFrame(rows, "id string, content string")
+    folders = sinks.write_outputs(df, str(tmp_path / "o"))
+    assert sorted(rows_of(csv_safe.read_csv_safe(spark, folders["csv"]))) == rows
+    sinks.append_csv(df.withColumn("dt", F.lit("d")), str(tmp_path / "a"), ("dt",))
+    assert sorted((r.id, r.content) for r in csv_safe.read_csv_safe(spark, str(tmp_path / "a")).collect()) == rows
+
+
+def test_surplus_fields_are_reported(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("a,b\n1,2\n1,2,3\n")
+    got = csv_safe.read_csv_safe(spark, str(tmp_path / "c.csv"), ["a", "b"]).collect()
+    assert [r._corrupt_record for r in got] == [None, "1,2,3"]
+
+
+def test_a_broken_table_is_not_an_empty_one(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "_SUCCESS").write_text("")
+    schema = spark.createDataFrame([(1,)], "id int").schema
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):
+        sinks.read_if_exists(spark, str(tmp_path / "t"), schema)
+    assert sinks.read_if_exists(spark, str(tmp_path / "none"), schema).count() == 0
+
+
+def test_upserts_leave_untouched_buckets_alone(spark, tmp_path):
+    path = tmp_path / "t"
+    first = spark.createDataFrame([(i, f"v{i}") for i in range(300)], "id int, v string")
+    sinks.upsert_table(first, str(path), ["id"], ["v"])
+    before = {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+    got = sinks.upsert_table(spark.createDataFrame([(5, "new"), (900, "more")], "id int, v string"), str(path), ["id"], ["v"])
+    kept = [p for p in path.rglob("*.parquet") if before.get(p) == p.stat().st_mtime_ns]
+    assert len({p.parent for p in path.rglob("*.parquet")} - {p.parent for p in kept}) <= 2
+    assert {r.id: r.v for r in got.collect()} == {**{i: f"v{i}" for i in range(300)}, 5: "new", 900: "more"}
+
+
+def test_documents_keep_fields_that_a_batch_lacks(spark, tmp_path):
+    path, write = str(tmp_path / "d"), sinks.create_sink("mongodb")
+    write(spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "id int, name string, n int"), path, keys=["id"], order=["n"])
+    write(spark.createDataFrame([(1, 7), (3, 8)], "id int, n int"), path, keys=["id"], order=["n"])
+    got = {r.id: (r.name, r.n) for r in spark.read.parquet(path).collect()}
+    assert got == {1: ("a", 7), 2: ("b", 6), 3: (None, 8)}
+
+
+def test_unsettled_ranks_raise(spark):
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "c", 1), ("c", "a", 1), ("a", "c", 2)], "src string, dst string, weight int")
+    with pytest.raises(ArithmeticError):
+        graph.pagerank(edges, tolerance=1e-12, max_rounds=2)
+
+
+def test_platform_names_are_read_without_case(spark):
+    rows = spark.createDataFrame([(" XHS", "{}"), ("nowhere", "{}"), (None, "{}")], "platform string, payload string")
+    assert sorted(str(r.platform) for r in platforms.unknown_platforms(rows).collect()) == ["None", "nowhere"]
+
+
 def test_csv_with_line_breaks_and_quotes(spark, tmp_path):
     path = str(tmp_path / "c")
     rows = [("1", 'a "quoted", text\nwith a break'), ("2", "plain")]
@@ -223,10 +293,10 @@ def test_cleaning_without_optional_columns(spark):
 def test_merge_update(spark):
     old = spark.createDataFrame([("1", "x")], "id string, content string")
     new = spark.createDataFrame([("2", "x", 1), ("3", "y", 2)], "id string, content string, likes int")
-    assert sorted((r.id, r.content) for r in opinion.merge_update(old, new).collect()) == [("1", "x"), ("3", "y")]
-    assert opinion.merge_update(None, old).count() == 1
+    assert sorted((r.id, r.content) for r in opinion.merge_update(old, new, ["id"]).collect()) == [("1", "x"), ("3", "y")]
+    assert opinion.merge_update(None, old, ["id"]).count() == 1
     with pytest.raises(ValueError):
-        opinion.merge_update(None, None)
+        opinion.merge_update(None, None, ["id"])
 
 
 def test_topics_do_not_depend_on_layout(spark):

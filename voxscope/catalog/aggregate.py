@@ -97,6 +97,10 @@ def _(t):
     return topk.top_provinces(aggregates.province_heat(rows))
 
 
+def _placed(t):
+    return t.comments.withColumn("location_province", places.extract_province(F.col("ip_location")))
+
+
 _ALL = ["comment_id", "user_id", "note_id", "ip_location", "content_length", "has_picture", "is_reply", "year",
         "quarter", "month", "day", "hour", "day_of_week", "day_name", "datetime_str", "location_standard",
         "location_province", "location_city", "user_comment_count", "user_total_likes", "user_total_replies",
@@ -166,9 +170,9 @@ def _(t):
     return aggregates.province_heat(_scored(t))
 
 
-@add("top_provinces", with_comments(f"{_HEAT} ORDER BY count DESC, 1 LIMIT 5"))
+@add("top_provinces", with_comments(f"{_HEAT} ORDER BY count DESC, 1 LIMIT 34"))
 def _(t):
-    return topk.top_provinces(aggregates.province_heat(_scored(t)), 5)
+    return topk.top_provinces(aggregates.province_heat(_scored(t)))
 
 
 @add("top15_reversed", with_comments(f"SELECT * FROM ({_HEAT} ORDER BY count DESC, 1 LIMIT 15) AS h ORDER BY count"))
@@ -191,6 +195,17 @@ def _(t):
     return aggregates.daily_trend(_scored(t)).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
+@add("heat_and_trend_places", with_comments(f"{_HEAT} ORDER BY count DESC, 1 LIMIT 34"))
+def _(t):
+    return opinion.heat_and_trend(_placed(t))[0]
+
+
+@add("heat_and_trend_days", with_comments(f"""SELECT strftime(create_time, '%Y-%m-%d') AS date, count(*) AS daily_count,
+ {round2('avg(s)')} AS daily_sentiment FROM ({_SCORED}) AS x GROUP BY 1"""))
+def _(t):
+    return opinion.heat_and_trend(_placed(t))[1].withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
 _STATS = """SELECT user_id, count(comment_id) AS user_comment_count, CAST(sum(like_count) AS BIGINT) AS user_total_likes,
  CAST(sum(sub_comment_count) AS BIGINT) AS user_total_replies, count(*) AS user_rows,
  count(comment_id) * 1e0 + sum(like_count) * 1e-1 + sum(sub_comment_count) * 5e-1 AS score

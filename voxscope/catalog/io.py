@@ -27,25 +27,21 @@ def _as_text(df):
 @add("read_csv_safe", with_comments(_COMMENT_SQL))
 def _(t):
     path = stage_path(t.spark, "csv")
-    # White space at the ends of a text is content, not layout.
-    t.comments.select(_COMMENT).write.options(**sinks._CSV_WRITE, ignoreLeadingWhiteSpace="false",
-                                              ignoreTrailingWhiteSpace="false").csv(path)
+    t.comments.select(_COMMENT).write.options(**sinks._CSV_WRITE).csv(path)
     return _as_text(csv_safe.read_csv_safe(t.spark, path))
 
 
-@add("write_outputs", with_comments("""SELECT f.format, count(*) AS n, CAST(sum(comment_id) AS BIGINT) AS ids,
- CAST(sum(length(nickname)) AS BIGINT) AS chars FROM comments, (VALUES ('parquet'), ('csv'), ('jsonl')) AS f(format)
- GROUP BY 1"""))
+@add("write_outputs", with_comments(f"""SELECT f.format, c.* FROM ({_COMMENT_SQL}) AS c,
+ (VALUES ('parquet'), ('csv'), ('jsonl')) AS f(format)"""))
 def _(t):
     rows = t.comments.select(*_COMMENT, F.to_date("create_time").alias("date"))
     folders = sinks.write_outputs(rows, stage_path(t.spark, "outputs"), partition_by="date")
     schema = "comment_id bigint, note_id bigint, nickname string, content string, date date"
     back = {"parquet": t.spark.read.parquet(folders["parquet"]), "csv": csv_safe.read_csv_safe(t.spark, folders["csv"]),
             "jsonl": t.spark.read.schema(schema).json(folders["jsonl"])}
-    parts = [df.select(F.lit(name).alias("format"), F.col("comment_id").cast("bigint").alias("id"), "nickname")
-             for name, df in back.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("format").agg(
-        F.count("*").alias("n"), F.sum("id").alias("ids"), F.sum(F.length("nickname")).alias("chars"))
+    parts = [_as_text(df).select(F.lit(name).alias("format"), F.col("comment_id").cast("string").alias("comment_id"), F.col(
+        "note_id").cast("string").alias("note_id"), "nickname", "content_md5") for name, df in back.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @add("write_single_csv", """SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(count(*) AS VARCHAR) AS n, '1' AS files
@@ -61,12 +57,12 @@ def _(t):
 
 def _parts(df):
     return df.select(F.lit("xhs").alias("platform"), F.lit("search").alias("crawl_type"),
-                     F.col("event_type").alias("item"), F.to_date("create_time").alias("dt"), "comment_id", "nickname")
+                     F.col("event_type").alias("item"), F.to_date("create_time").alias("dt"), "comment_id", "content")
 
 
-_APPENDED = """SELECT item, dt, count(*) AS n, CAST(sum(comment_id) AS BIGINT) AS ids FROM (SELECT event_type AS item,
- strftime(create_time, '%Y-%m-%d') AS dt, comment_id FROM comments UNION ALL
- SELECT event_type, strftime(create_time, '%Y-%m-%d'), comment_id FROM comments WHERE like_count > 100) AS a GROUP BY ALL"""
+_APPENDED = """SELECT item, dt, CAST(comment_id AS VARCHAR) AS comment_id, md5(content) AS content_md5 FROM (SELECT event_type AS item,
+ strftime(create_time, '%Y-%m-%d') AS dt, comment_id, content FROM comments UNION ALL
+ SELECT event_type, strftime(create_time, '%Y-%m-%d'), comment_id, content FROM comments WHERE like_count > 100) AS a"""
 
 
 def _register_append(name, append, read):
@@ -75,13 +71,13 @@ def _register_append(name, append, read):
         path = stage_path(t.spark, name)
         append(_parts(t.comments), path)
         append(_parts(t.comments.filter("like_count > 100")), path)
-        return read(t.spark, path).groupBy("item", F.date_format(F.col("dt").cast("date"), "yyyy-MM-dd").alias("dt")).agg(
-            F.count("*").alias("n"), F.sum(F.col("comment_id").cast("bigint")).alias("ids"))
+        return read(t.spark, path).select("item", F.date_format(F.col("dt").cast("date"), "yyyy-MM-dd").alias("dt"), F.col(
+            "comment_id").cast("string").alias("comment_id"), F.md5("content").alias("content_md5"))
 
 
 _register_append("append_csv", sinks.append_csv, csv_safe.read_csv_safe)
 _register_append("append_json", sinks.append_json, lambda spark, path: spark.read.schema(
-    "comment_id bigint, nickname string, platform string, crawl_type string, item string, dt date").json(path))
+    "comment_id bigint, content string, platform string, crawl_type string, item string, dt date").json(path))
 
 
 @add("stop_words", """SELECT term, count(*) AS count FROM (SELECT unnest(regexp_extract_all(text,

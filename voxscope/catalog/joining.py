@@ -46,11 +46,11 @@ def _(t):
 
 
 @add("display_network", with_comments(f""", e AS ({EDGES_SQL}), best AS ({_ACTIVE_SQL}
- ORDER BY pagerank DESC, user LIMIT 20) SELECT src, dst, weight FROM e
+ ORDER BY pagerank DESC, user LIMIT 50) SELECT src, dst, weight FROM e
  WHERE (src IN (SELECT user FROM best) OR dst IN (SELECT user FROM best))
- AND regexp_matches(dst, '[一-龥a-zA-Z0-9]') ORDER BY weight DESC, src, dst LIMIT 40"""))
+ AND regexp_matches(dst, '[一-龥a-zA-Z0-9]') ORDER BY weight DESC, src, dst LIMIT 100"""))
 def _(t):
-    return opinion.display_network(_active(t), _edges(t), 20, 40)
+    return opinion.display_network(_active(t), _edges(t))
 
 
 @add("node_score_lookup", f"""SELECT u.user, round(coalesce(r.pagerank, 0.001), 6) AS pagerank,
@@ -252,10 +252,20 @@ def _(t):
     return ranks.select("user", F.round("pagerank", 8).alias("pagerank"))
 
 
-@add("opinion_leaders", with_comments(f""", {pagerank_sql(EDGES_SQL, 60)} SELECT user, round(rank, 5) AS pagerank
- FROM r60 ORDER BY rank DESC, user LIMIT 10"""))
+def _until_settled(rounds: int) -> str:
+    """The ranks of the first round whose summed change is below nodes * 1e-6."""
+    changes = [f"x{i} AS MATERIALIZED (SELECT sum(abs(a.rank - b.rank)) AS change FROM r{i} a JOIN r{i - 1} b USING (user))"
+               for i in range(1, rounds + 1)]
+    small = " UNION ALL ".join(f"SELECT {i} AS i, change FROM x{i}" for i in range(1, rounds + 1))
+    ranks = " UNION ALL ".join(f"SELECT {i} AS i, user, rank FROM r{i}" for i in range(1, rounds + 1))
+    return (f"{', '.join(changes)}, stop AS (SELECT min(i) AS i FROM ({small}) AS y WHERE change < (SELECT k FROM c) * 1e-6), "
+            f"settled AS (SELECT user, rank FROM ({ranks}) AS z WHERE i = (SELECT i FROM stop))")
+
+
+@add("opinion_leaders", with_comments(f""", {pagerank_sql(EDGES_SQL, 60)}, {_until_settled(60)} SELECT user,
+ round(rank, 5) AS pagerank FROM settled ORDER BY rank DESC, user LIMIT 10"""))
 def _(t):
-    # Runs until the ranks settle; the statement runs more rounds than that needs.
+    # Both sides stop at the same round.
     ranks, _edges_kept = opinion.opinion_leaders(t.comments)
     return topk.top_nodes(ranks).select("user", F.round("pagerank", 5).alias("pagerank"))
 

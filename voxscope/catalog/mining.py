@@ -22,13 +22,13 @@ def _words(t):
 
 _TERMS = f"t AS (SELECT doc_id, unnest({FILTERED_SQL.format('text')}) AS term FROM documents)"
 _COUNTS = f"""{_TERMS}, vocab AS (SELECT term, count(*) AS n FROM t GROUP BY term HAVING count(DISTINCT doc_id) >= 5
- ORDER BY n DESC, term LIMIT 300), c AS (SELECT doc_id, term, count(*) AS tf FROM t
+ ORDER BY n DESC, term LIMIT 1000), c AS (SELECT doc_id, term, count(*) AS tf FROM t
  WHERE term IN (SELECT term FROM vocab) GROUP BY ALL)"""
 
 
 def _counts(t):
     words = stage(_words(t), "words")
-    return mining.term_counts(words, "doc_id", vocab=mining.vocabulary(words, size=300, min_df=5))
+    return mining.term_counts(words, "doc_id", vocab=mining.vocabulary(words, size=1000, min_df=5))
 
 
 @add("count_vectors", f"WITH {_COUNTS} SELECT doc_id, term, tf FROM c")
@@ -39,7 +39,7 @@ def _(t):
 @add("vocabulary_ids", f"""WITH {_COUNTS} SELECT term, n AS count, CAST(row_number() OVER (ORDER BY n DESC, term) - 1
  AS INT) AS term_id FROM vocab""")
 def _(t):
-    return mining.with_term_ids(mining.vocabulary(_words(t), size=300, min_df=5)).select("term", "count", "term_id")
+    return mining.with_term_ids(mining.vocabulary(_words(t), size=1000, min_df=5)).select("term", "count", "term_id")
 
 
 @add("tfidf", f"""WITH {_COUNTS}, df AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1e0)) AS idf
@@ -54,11 +54,11 @@ def _(t):
  HAVING count(DISTINCT doc_id) >= 5) SELECT doc_id, round(sum(ln(((SELECT count(*) FROM documents) + 1) / (d + 1e0))), 4)
  AS weight FROM t JOIN vocab USING (term) GROUP BY doc_id""")
 def _(t):
-    # MLlib vectors over every term found in at least five documents.
-    counted, _model = mining.count_vectorize(stage(_words(t), "words"), size=1 << 18, min_df=5.0)
-    vectors = mining.idf_weight(counted).select("doc_id", vector_to_array("features").alias("v"))
-    total = F.aggregate("v", F.lit(0.0), lambda a, x: a + x)
-    return vectors.select("doc_id", F.round(total, 4).alias("weight")).filter("weight > 0")
+    # Every term found in at least five documents, as rows: no vocabulary is cut and no vector is as wide as it.
+    counts = stage(mining.term_counts(_words(t), "doc_id"), "counts")
+    common = counts.groupBy("term").agg(F.count("*").alias("n")).filter("n >= 5")
+    weights = mining.tfidf(counts.join(common, "term", "left_semi"), "doc_id", t.documents.agg(F.count("*")).scalar())
+    return weights.groupBy("doc_id").agg(F.round(F.sum("tfidf"), 4).alias("weight"))
 
 
 @add("hashing_tf", f"SELECT doc_id, CAST(len({TOKENS_SQL.format('text')}) AS DOUBLE) AS tokens FROM documents")
@@ -71,8 +71,8 @@ def _(t):
 # --- topics ----------------------------------------------------------------------------------
 
 
-def _topics(t, points=False):
-    return topics.topic_clusters(t.documents, "doc_id", "text", size=500, min_df=5.0, stop_words=STOPS, points=points)
+def _topics(t, size=1000, min_df=5.0, points=False):
+    return topics.topic_clusters(t.documents, "doc_id", "text", size=size, min_df=min_df, stop_words=STOPS, points=points)
 
 
 @add("kmeans_clusters")
@@ -87,7 +87,7 @@ def _(t):
 
 @add("topic_points")
 def _(t):
-    return _topics(t, points=True).rows
+    return _topics(t, 2000, 2.0, points=True).rows
 
 
 @add("kmeans_share", "SELECT count(*) AS documents, 100e0 AS percent FROM (SELECT 1 FROM documents WHERE len("

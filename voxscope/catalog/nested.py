@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import nested
+from ..session import stage_path
 from ..sources import json_records, platforms
 from .base import Registry, with_comments
 from .text import q
@@ -142,6 +143,30 @@ def _(t):
     return json_records.explode_payloads(_payloads(t), "payload", _RECORD)[0]
 
 
+@add("json_lost_values", "SELECT event_id AS id FROM events WHERE event_id % 3 = 0")
+def _(t):
+    # A word where a number belongs is not read as null: the record is set aside.
+    text = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("x"), F.col("event_id").cast("string"))).otherwise(F.col("event_id").cast("string"))
+    rows = t.events.select("event_id", F.to_json(F.array(F.struct(text.alias("id"), F.col("event_type").alias("kind")))).alias("payload"))
+    records, set_aside = json_records.explode_payloads(rows, "payload", _RECORD)
+    return set_aside.select(F.col("event_id").alias("id"))
+
+
+@add("json_arrays_quarantine", """SELECT 'records' AS part, count(*) AS n FROM events WHERE event_id % 2 = 0
+ UNION ALL SELECT 'broken files', 1""")
+def _(t):
+    path = stage_path(t.spark, "json-arrays")
+    record = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind")))
+    arrays = t.events.filter("event_id % 2 = 0").groupBy(F.floor(F.col("event_id") / 5000).alias("file")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]")).alias("value"))  # a file of 2,500 records each
+    arrays.write.partitionBy("file").text(path)
+    cut = t.spark.createDataFrame([(-1, '[{"id": 3}, {"id": 4}, {"id":')], "file int, value string")
+    cut.write.mode("append").partitionBy("file").text(path)
+    records, broken = json_records.read_json_arrays(t.spark, path, "id bigint, kind string", glob="*.txt")
+    return records.agg(F.lit("records").alias("part"), F.count("*").alias("n")).unionByName(
+        broken.agg(F.lit("broken files").alias("part"), F.count("*").alias("n")))
+
+
 @add("json_quarantine", "SELECT count(*) AS broken FROM events WHERE event_id % 7 = 6")
 def _(t):
     return json_records.explode_payloads(_payloads(t), "payload", _RECORD)[1].agg(F.count("*").alias("broken"))
@@ -237,6 +262,13 @@ def _(t):
         "parent_comment_id", "like_count")
 
 
+@add("union_platforms_quarantine", """SELECT event_id, event_type AS platform FROM events WHERE event_type <> 'click'""")
+def _(t):
+    name = F.when(F.col("event_type") == "click", F.lit(" XHS ")).otherwise(F.col("event_type"))
+    rows = t.events.select("event_id", "event_type", name.alias("platform"))
+    return platforms.unknown_platforms(rows).select("event_id", F.col("event_type").alias("platform"))
+
+
 @add("platform_contents", """SELECT 'bilibili' AS platform, CAST(doc_id AS VARCHAR) AS content_id, 'video' AS kind,
  md5(substr(text, 1, 500)) AS title_md5, CAST(n_chars AS VARCHAR) AS liked_count,
  'https://www.bilibili.com/video/av' || CAST(doc_id AS VARCHAR) AS content_url FROM documents

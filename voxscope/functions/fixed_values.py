@@ -93,28 +93,34 @@ CITY_RULES = [
 # --- sentiment lexicons ---
 
 # Used while cleaning; a word listed n times weighs n.
-CLEANING_POSITIVE = (
-    "好 喜欢 赞 棒 优秀 支持 感谢 厉害 牛 开心 不错 很好 太好了 完美 满意 推荐 值得 有用 有帮助 "
-    "专业 清晰 易懂 实用 有效 成功 进步 提升 改善 鼓励 加油 努力 坚持 希望 期待 相信 肯定 认可"
-).split()
-CLEANING_NEGATIVE = (
-    "差 讨厌 垃圾 不好 失望 反对 恶心 糟糕 烦 生气 不行 没用 错误 失败 问题 困难 麻烦 复杂 困惑 "
-    "担心 焦虑 压力 累 难 慢 贵 贵 贵 贵 批评 质疑 怀疑 不满 抱怨 遗憾 可惜 无奈 无语"
-).split()
+CLEANING_POSITIVE = [
+    "好", "喜欢", "赞", "棒", "优秀", "支持", "感谢", "厉害", "牛", "开心", "不错", "很好", "太好了", "完美", "满意", "推荐",
+    "值得", "有用", "有帮助", "专业", "清晰", "易懂", "实用", "有效", "成功", "进步", "提升", "改善", "鼓励", "加油", "努力",
+    "坚持", "希望", "期待", "相信", "肯定", "认可",
+]
+CLEANING_NEGATIVE = [
+    "差", "讨厌", "垃圾", "不好", "失望", "反对", "恶心", "糟糕", "烦", "生气", "不行", "没用", "错误", "失败", "问题", "困难",
+    "麻烦", "复杂", "困惑", "担心", "焦虑", "压力", "累", "难", "慢", "贵", "贵", "贵", "贵", "批评", "质疑", "怀疑", "不满",
+    "抱怨", "遗憾", "可惜", "无奈", "无语",
+]
 
 # Used for regional heat and the daily trend.
-TREND_POSITIVE = (
-    "喜欢 不错 支持 加油 希望 成功 上岸 机会 发展 利好 优秀 进步 好 棒 赞 开心 快乐 推荐 收获 丰富 "
-    "稳定 高薪 牛 厉害 期待 拥有 解决 提升 明确 肯定"
-).split()
-TREND_NEGATIVE = (
-    "焦虑 担心 害怕 失业 裁员 迷茫 垃圾 恶心 讨厌 差 难 累 卷 痛苦 失望 后悔 完蛋 离谱 无语 压力 "
-    "甚至 怀疑 不行 放弃 淘汰 危机 没用 骗子 忽悠 惨"
-).split()
+TREND_POSITIVE = [
+    "喜欢", "不错", "支持", "加油", "希望", "成功", "上岸", "机会", "发展", "利好", "优秀", "进步", "好", "棒", "赞", "开心",
+    "快乐", "推荐", "收获", "丰富", "稳定", "高薪", "牛", "厉害", "期待", "拥有", "解决", "提升", "明确", "肯定",
+]
+TREND_NEGATIVE = [
+    "焦虑", "担心", "害怕", "失业", "裁员", "迷茫", "垃圾", "恶心", "讨厌", "差", "难", "累", "卷", "痛苦", "失望", "后悔",
+    "完蛋", "离谱", "无语", "压力", "甚至", "怀疑", "不行", "放弃", "淘汰", "危机", "没用", "骗子", "忽悠", "惨",
+]
 
 # Used to label training rows.
-TRAINING_POSITIVE = "喜欢 不错 支持 加油 希望 成功 上岸 机会 发展 优秀 好 棒 赞 开心 快乐".split()
-TRAINING_NEGATIVE = "焦虑 担心 害怕 失业 裁员 迷茫 垃圾 恶心 讨厌 差 难 累 卷 痛苦 失望".split()
+TRAINING_POSITIVE = [
+    "喜欢", "不错", "支持", "加油", "希望", "成功", "上岸", "机会", "发展", "优秀", "好", "棒", "赞", "开心", "快乐",
+]
+TRAINING_NEGATIVE = [
+    "焦虑", "担心", "害怕", "失业", "裁员", "迷茫", "垃圾", "恶心", "讨厌", "差", "难", "累", "卷", "痛苦", "失望",
+]
 
 SENTIMENT_LABELS = {"positive": "正面", "neutral": "中性", "negative": "负面"}
 
@@ -122,8 +128,10 @@ SENTIMENT_LABELS = {"positive": "正面", "neutral": "中性", "negative": "负
 
 NOISE_FRAGMENTS = ["转发微博", "转发", "转", "...", "。。", "???", "!!!", "？？？", "！！！"]
 
-STOP_WORDS = ("的 了 是 在 我 有 和 就 不 人 都 一 一个 上 也 很 到 说 要 去 你 会 着 没有 看 好 自己 "
-              "这").split()
+STOP_WORDS = [
+    "的", "了", "是", "在", "我", "有", "和", "就", "不", "人", "都", "一", "一个", "上", "也", "很", "到", "说", "要",
+    "去", "你", "会", "着", "没有", "看", "好", "自己", "这",
+]
 
 CUSTOM_PHRASES = {
     "人工智能": "技术",

@@ -41,7 +41,8 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tolerance: float = 1e-6, max
     """(user, pagerank) of a weighted directed graph; the ranks add up to 1.
 
     Nodes without outgoing edges spread their rank evenly.  Iteration stops when the summed
-    change falls below nodes * tolerance, or after exactly ``rounds`` rounds when given.
+    change falls below nodes * tolerance, or after exactly ``rounds`` rounds when given.  If that does not
+    happen within ``max_rounds`` rounds, an ArithmeticError is raised.
 
     One round is one job: a join, an aggregation, and a table write that also measures the rank
     of nodes without links and the change.  The links stay in memory, partitioned by (node,
@@ -90,6 +91,9 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tolerance: float = 1e-6, max
             lost = seen.get["lost"]
             if rounds is None and seen.get["change"] < n * tolerance:
                 break
+        else:
+            if rounds is None:
+                raise ArithmeticError(f"no PageRank within {tolerance} after {max_rounds} rounds")
     finally:
         links.unpersist()
     return ranks.select("user", F.col("rank").alias("pagerank"))

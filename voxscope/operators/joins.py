@@ -38,9 +38,8 @@ def activity_threshold(stats: DataFrame, q: float = 0.9) -> float | None:
 def edges_touching_top_nodes(edges: DataFrame, ranks: DataFrame, nodes: int = 50, limit: int = 100) -> DataFrame:
     """The heaviest edges that start or end at one of the best nodes."""
     best = top_nodes(ranks, nodes).select("user")
-    # The broadcast side has at most ``nodes`` rows.
-    from_best = F.broadcast(best.select(F.col("user").alias("src"), F.lit(True).alias("_s")))
-    to_best = F.broadcast(best.select(F.col("user").alias("dst"), F.lit(True).alias("_d")))
+    from_best = best.select(F.col("user").alias("src"), F.lit(True).alias("_s"))
+    to_best = best.select(F.col("user").alias("dst"), F.lit(True).alias("_d"))
     return (edges.join(from_best, "src", "left").join(to_best, "dst", "left")
             .filter(F.col("_s") | F.col("_d")).select("src", "dst", "weight")
             .orderBy(F.desc("weight"), "src", "dst").limit(limit))

@@ -18,15 +18,14 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def merge_batches(old: DataFrame, new: DataFrame, key: str = "content",
-                  order: list[str] | None = None) -> DataFrame:
+def merge_batches(old: DataFrame, new: DataFrame, order: list[str], key: str = "content") -> DataFrame:
     """Old and new rows together, one row per ``key``; old rows win, then the given order."""
     from .dedup import dedup_any, dedup_keep_first
 
     both = union_by_name(old.withColumn("_source", F.lit(0)), new.withColumn("_source", F.lit(1)))
     if key not in both.columns:
         return dedup_any(both.drop("_source"))
-    return dedup_keep_first(both, key, ["_source", *(order or [])]).drop("_source")
+    return dedup_keep_first(both, key, ["_source", *order]).drop("_source")
 
 
 def _order(columns: Iterable[str]) -> Column:

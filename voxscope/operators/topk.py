@@ -13,18 +13,14 @@ def latest_per_key(df: DataFrame, keys: list[str] | str, order: list[str]) -> Da
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-# Up to this many rows per group Spark limits groups inside the map tasks by itself
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
-
-
 def _rank(df: DataFrame, keys: list[str], order: list[str | Column], n: int, pieces: int = 64) -> DataFrame:
     """Rows with ``_rn`` from 1 to ``n`` per group.
 
-    A larger ``n`` is not limited before the shuffle, so a hot group is first cut into pieces
-    of which each keeps its own first ``n``.
+    Spark limits groups inside the map tasks by itself up to a length that the session sets.  Beyond it a hot group is
+    first cut into pieces of which each keeps its own first ``n``; the rows are the same either way.
     """
-    if n > GROUP_LIMIT:
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit:
         piece = F.pmod(F.xxhash64(*order), F.lit(pieces))
         inside = Window.partitionBy(*keys, "_piece").orderBy(*order)
         df = (df.withColumn("_piece", piece).withColumn("_rn", F.row_number().over(inside))

@@ -19,15 +19,14 @@ def heat_and_trend(df: DataFrame, positive=fv.TREND_POSITIVE, negative=fv.TREND_
                    ) -> tuple[DataFrame, DataFrame]:
     """(busiest provinces, daily trend).
 
-    Scoring is a cheap column expression, so each result scans its own few columns; caching the
-    scored rows would cost more than it saves.
+    Texts are scored once; both results read a stored table of place, time and score.
     """
-    rows = scored(df, positive, negative)
+    rows = stage(scored(df, positive, negative).select("location_province", "create_time", "sentiment_score"), "scored")
     return topk.top_provinces(aggregates.province_heat(rows)), aggregates.daily_trend(rows).orderBy("date")
 
 
-def merge_update(old: DataFrame | None, new: DataFrame | None, order: list[str] | None = None) -> DataFrame:
-    """Union two cleaned batches by name and keep one row per content; either may be missing."""
+def merge_update(old: DataFrame | None, new: DataFrame | None, order: list[str]) -> DataFrame:
+    """Union two cleaned batches by name and keep one row per content, the first by ``order``; either may be missing."""
     frames = [f for f in (old, new) if f is not None]
     if not frames:
         raise ValueError("no input to merge")

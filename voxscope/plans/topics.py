@@ -53,6 +53,8 @@ def topic_clusters(df: DataFrame, key: str, text: str = "content", k: int = 4, s
     if points:
         rows = mining.pca_points(rows)
     columns = [key, "cluster_id", *(["x", "y"] if points else [])]
+    if points:  # the drawing shows the text of each point
+        rows, columns = rows.join(df.select(key, text), key), [key, text, *columns[1:]]
     keywords = mining.top_terms_per_cluster(model.clusterCenters(), vocabulary.vocabulary, df)
     return Topics(rows.select(columns), vocabulary.vocabulary, keywords)
 

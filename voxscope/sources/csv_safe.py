@@ -8,18 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Whether a read failed only because nothing was ever written there."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_csv_safe(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame | None:
-    """The file as text columns, or None when there is nothing readable at ``path``.
+    """The file as text columns, or None when there is no file at ``path``.
 
-    Rows that do not fit the columns are kept, with nulls, instead of failing the job.  An empty
-    text field is read as null, as CSV cannot tell the two apart.
+    Rows that do not fit the columns are kept, with nulls, instead of failing the job; with
+    ``columns`` given, ``_corrupt_record`` then holds the whole line.  An empty text field is read
+    as null, as CSV cannot tell the two apart.  Any other problem with the path is raised.
     """
     reader = spark.read.options(**CSV_OPTIONS).option("mode", "PERMISSIVE").option("inferSchema", "false")
     if columns:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
+        reader = reader.schema(", ".join(f"`{c}` string" for c in [*columns, "_corrupt_record"]))
     try:
         return reader.csv(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return None
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stage
+
 # A wrapping object is searched for these keys in this order; the first one present decides.
 WRAPPERS = ("data", "comments", "items")
 
@@ -36,12 +38,35 @@ def payload_records(text: Column, record: T.StructType | str, wrappers: Sequence
             .when(alone & keys.isNotNull(), records))
 
 
+def _as_texts(record: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in record.fields])
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(text, kind)
+    return text if isinstance(kind, T.StringType) else text.try_cast(kind)
+
+
 def explode_payloads(df: DataFrame, payload: str, record: T.StructType | str) -> tuple[DataFrame, DataFrame]:
-    """(records, quarantine) of a column of payloads; other columns travel along."""
+    """(records, quarantine) of a column of payloads; other columns travel along.
+
+    The quarantine has the payloads that are not valid JSON, and each record of which a value does not fit its
+    type, as a payload of its own.  Payloads are parsed once.
+    """
+    kind = T.StructType.fromDDL(record) if isinstance(record, str) else record
     keep = [c for c in df.columns if c != payload]
-    parsed = df.withColumn("_records", payload_records(F.col(payload), record))
-    records = parsed.filter("_records IS NOT NULL").select(*keep, F.inline("_records"))
-    return records, df.filter(payload_records(F.col(payload), record).isNull())
+    parsed = df.withColumn("_records", payload_records(F.col(payload), _as_texts(kind))).select(
+        *keep, F.when(F.col("_records").isNull(), F.col(payload)).alias("_broken"), F.explode_outer("_records").alias("_r"))
+    values = F.struct(*[_typed(F.col(f"_r.`{f.name}`"), f.dataType).alias(f.name) for f in kind.fields])
+    lost = F.lit(False)
+    for f in kind.fields:
+        lost = lost | (F.col(f"_r.`{f.name}`").isNotNull() & F.col(f"_v.`{f.name}`").isNull())
+    stored = stage(parsed.withColumn("_v", values).withColumn("_lost", lost), "payloads")
+    records = stored.filter("_r IS NOT NULL AND NOT _lost").select(*keep, "_v.*")
+    quarantine = stored.filter("_broken IS NOT NULL OR _lost").select(*keep, F.coalesce(
+        "_broken", F.to_json("_r")).alias(payload)).select(df.columns)
+    return records, quarantine
 
 
 def read_json_records(spark: SparkSession, path: str, record: T.StructType | str) -> tuple[DataFrame, DataFrame]:
@@ -55,7 +80,16 @@ def read_json_records(spark: SparkSession, path: str, record: T.StructType | str
     return explode_payloads(files, "payload", record)
 
 
-def read_json_arrays(spark: SparkSession, path: str, record: T.StructType | str) -> DataFrame:
-    """Records of files that hold one JSON array each; records are streamed out of the file."""
-    return (spark.read.schema(record).option("multiLine", True).option("pathGlobFilter", "*.json")
-            .option("mode", "PERMISSIVE").json(path))
+def read_json_arrays(spark: SparkSession, path: str | list[str], record: T.StructType | str,
+                     glob: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """(records, quarantine) of files that hold one JSON array each; records are streamed out of the file.
+
+    A file that breaks off is one row of the quarantine, with its name and its whole text; none of it is a record.
+    """
+    kind = T.StructType.fromDDL(record) if isinstance(record, str) else record
+    rows = (spark.read.schema(T.StructType([*kind.fields, T.StructField("_corrupt_record", T.StringType())]))
+            .option("multiLine", True).option("pathGlobFilter", glob).option("mode", "PERMISSIVE").json(path)
+            .withColumn("file", F.col("_metadata.file_path")))
+    stored = stage(rows, "json-arrays")
+    broken = stored.filter("_corrupt_record IS NOT NULL").select("file", F.col("_corrupt_record").alias("payload")).distinct()
+    return stored.join(broken.select("file"), "file", "left_anti").select(kind.fieldNames()), broken

@@ -270,6 +270,19 @@ def _canonical(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def union_platforms(payloads: DataFrame, platform: str = "platform", payload: str = "payload") -> DataFrame:
-    """Canonical comments of a table of (platform, payload) rows."""
-    return union_by_name(*[comments_of(name, payloads.filter(F.col(platform) == name), payload)
+    """Canonical comments of a table of (platform, payload) rows; names are read without case and outer blanks.
+
+    Rows of other platforms are not in the result: see :func:`unknown_platforms`.
+    """
+    named = payloads.withColumn(platform, _platform_name(platform))
+    return union_by_name(*[comments_of(name, named.filter(F.col(platform) == name), payload)
                            for name in COMMENT_FIELDS])
+
+
+def unknown_platforms(payloads: DataFrame, platform: str = "platform") -> DataFrame:
+    """The rows that :func:`union_platforms` has no mapping for, null platforms among them."""
+    return payloads.filter(~F.coalesce(_platform_name(platform).isin(*COMMENT_FIELDS), F.lit(False)))
+
+
+def _platform_name(platform: str):
+    return F.lower(F.trim(F.col(platform)))

@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 
 from ..operators import merge
 from ..session import stage
-from .csv_safe import CSV_OPTIONS
+from .csv_safe import CSV_OPTIONS, is_missing
 
-_CSV_WRITE = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
+# White space at the ends of a text is content, not layout.
+_CSV_WRITE = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"} | {
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def write_outputs(df: DataFrame, path: str, partition_by: str | None = None) -> dict[str, str]:
@@ -23,7 +25,8 @@ def write_outputs(df: DataFrame, path: str, partition_by: str | None = None) ->
     The plan runs once, for Parquet; the other copies are made from that table.
     """
     folders = {fmt: os.path.join(path, fmt) for fmt in ("parquet", "csv", "jsonl")}
-    writer = df.write.mode("overwrite")
+    clustered = df.hint("rebalance", partition_by) if partition_by else df  # few files per folder, none too large
+    writer = clustered.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(folders["parquet"])
     stored = df.sparkSession.read.schema(df.schema).parquet(folders["parquet"]).select(df.columns)
     _flat(stored).write.mode("overwrite").options(**_CSV_WRITE).csv(folders["csv"])
@@ -42,12 +45,12 @@ PARTS = ("platform", "crawl_type", "item", "dt")
 
 def append_csv(df: DataFrame, path: str, parts: tuple[str, ...] = PARTS) -> None:
     """Append rows below platform/type/item/day folders."""
-    _flat(df).write.mode("append").partitionBy(*parts).options(**_CSV_WRITE).csv(path)
+    _flat(df).hint("rebalance", *parts).write.mode("append").partitionBy(*parts).options(**_CSV_WRITE).csv(path)
 
 
 def append_json(df: DataFrame, path: str, parts: tuple[str, ...] = PARTS) -> None:
     """Append rows as JSON Lines; existing files are never rewritten."""
-    df.write.mode("append").partitionBy(*parts).option("ignoreNullFields", "false").json(path)
+    df.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).option("ignoreNullFields", "false").json(path)
 
 
 def cell_text(column: Column, kind: T.DataType) -> Column:
@@ -85,23 +88,56 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Data
     """The stored table, or an empty one before the first write."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return spark.createDataFrame([], schema)
 
 
+BUCKET, BUCKETS = "_bucket", 64
+
+
+def _merge_buckets(df: DataFrame, path: str, keys: list[str], merged: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Rewrite the key-hash buckets that a batch touches; the files of all others stay.
+
+    The merged rows are staged completely before they replace the old ones.  One writer at a time.
+    """
+    spark = df.sparkSession
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    old = read_if_exists(spark, path, T.StructType([*df.schema.fields, T.StructField(BUCKET, T.IntegerType())]))
+    batch = stage(df.withColumn(BUCKET, bucket), "upsert-batch")
+    touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most BUCKETS
+    rows = stage(merged(old.where(F.col(BUCKET).isin(touched)).drop(BUCKET), batch.drop(BUCKET)).withColumn(BUCKET, bucket), "upsert")
+    rows.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+    return read_table(spark, path, rows.schema).select([c for c in rows.columns if c != BUCKET])
+
+
 def upsert_table(df: DataFrame, path: str, keys: list[str], order: list[str],
                  update: list[str] | None = None) -> DataFrame:
     """Merge a batch into the Parquet table at ``path`` and return the new content.
 
     ``update`` names the columns a match may change; without it a match replaces the row.
-    The merged table is staged completely before it replaces the old one.
     """
-    spark = df.sparkSession
-    old = read_if_exists(spark, path, df.schema)
-    merged = merge.upsert_partial(old, df, keys, update, order) if update else \
-        merge.upsert_all(old, df, keys, order)
-    stage(merged, "upsert").write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _merge_buckets(df, path, keys, lambda old, new: merge.upsert_partial(old, new, keys, update, order) if update
+                          else merge.upsert_all(old, new, keys, order))
+
+
+def upsert_documents(df: DataFrame, path: str, keys: list[str], order: list[str], present: str | None = None) -> DataFrame:
+    """Document ``$set``: the batch's fields overwrite, those it does not have stay.
+
+    ``present`` names a column with the fields each document carries; without it these are all of the batch.
+    """
+    fields = [c for c in df.columns if c != present]
+    given = F.col(present) if present else F.array(*[F.lit(c) for c in fields])
+    batch = df.withColumn("_present", given).select(*fields, "_present")
+
+    def merged(old: DataFrame, new: DataFrame) -> DataFrame:
+        empty = new.drop("_present").limit(0)
+        wide = old.unionByName(empty, allowMissingColumns=True)
+        return merge.set_merge(wide, new.unionByName(wide.limit(0), allowMissingColumns=True), keys, "_present", order)
+
+    stored = _merge_buckets(batch, path, keys, lambda old, new: merged(old.drop("_present"), new))
+    return stored
 
 
 def find_many(df: DataFrame, query: Mapping[str, object], limit: int = 0, order: str | None = None) -> DataFrame:
@@ -145,9 +181,13 @@ def _write_keyed(df: DataFrame, path: str, keys: list[str], order: list[str], up
     upsert_table(df, path, keys, order, update)
 
 
+def _write_documents(df: DataFrame, path: str, keys: list[str], order: list[str], present: str | None = None, **_) -> None:
+    upsert_documents(df, path, keys, order, present)
+
+
 FORMATS: dict[str, Callable[..., None]] = {
     "csv": _write_csv, "json": _write_json, "parquet": _write_parquet, "excel": _write_sheet,
-    "db": _write_keyed, "sqlite": _write_keyed, "mongodb": _write_keyed,
+    "db": _write_keyed, "sqlite": _write_keyed, "mongodb": _write_documents,
 }
 
 

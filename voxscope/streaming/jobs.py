@@ -20,6 +20,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..operators import merge
 from ..operators.dedup import burst_spam_filter
 from ..session import stage_path
+from ..sources.csv_safe import is_missing
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet",
@@ -52,7 +53,9 @@ def _newest(spark: SparkSession, path: str, last: int, schema: T.StructType) ->
         stored = T.StructType([*schema.fields, T.StructField("version", T.IntegerType())])
         try:
             versions = spark.read.schema(stored).option("basePath", path).parquet(os.path.join(path, "version=*"))
-        except AnalysisException:
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
             return spark.createDataFrame([], schema)
         last = versions.agg(F.max("version")).first()[0]
         if last is None:
