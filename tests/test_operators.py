@@ -232,6 +232,25 @@ def test_unsettled_ranks_raise(spark):
         graph.pagerank(edges, tolerance=1e-12, max_rounds=2)
 
 
+def test_bursts_are_found_without_shuffling_texts(spark):
+    df = spark.createDataFrame([(1, "2024-01-01 00:00:00", 1, "long enough text to be kept"), (1, "2024-01-01 00:00:03", 2, "ok"),
+                                (None, "2024-01-01 00:00:03", 3, "ok"), (1, "2024-01-01 02:00:00", 4, "ok")],
+                               "user_id int, create_time string, comment_id int, content_clean string")
+    df = df.withColumn("create_time", F.col("create_time").cast("timestamp"))
+    spam = dedup.burst_rows(df)
+    plan = spam._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "content_clean" in line]
+    assert [r.comment_id for r in spam.collect()] == [2]
+    assert sorted(r.comment_id for r in dedup.burst_spam_filter(df).collect()) == [1, 3, 4]
+
+
+def test_stored_texts_hold_the_named_columns_only(spark):
+    rows = [("1", "a text", "北京", None), ("2", "a text", "上海", None), ("3", "", "上海", None)]
+    raw = spark.createDataFrame(rows, "comment_id string, content string, ip_location string, pictures string")
+    stored = cleaning.unique_texts(raw, columns=["ip_location", "content_clean"])
+    assert stored.columns == ["ip_location", "content_clean"] and rows_of(stored) == [("北京", "a text")]
+
+
 def test_platform_names_are_read_without_case(spark):
     rows = spark.createDataFrame([(" XHS", "{}"), ("nowhere", "{}"), (None, "{}")], "platform string, payload string")
     assert sorted(str(r.platform) for r in platforms.unknown_platforms(rows).collect()) == ["None", "nowhere"]

@@ -91,7 +91,7 @@ def _cleaned(t):
    {net_sql('content_clean')} AS s FROM firsts) AS x
  WHERE location_province NOT IN ('未知', '') GROUP BY 1 ORDER BY count DESC, 1 LIMIT 34"""))
 def _(t):
-    rows = cleaning.unique_texts(t.comments)
+    rows = cleaning.unique_texts(t.comments, columns=["ip_location", "content_clean"])
     rows = opinion.scored(rows.withColumn("location_province", places.extract_province(F.col("ip_location"))),
                           text="content_clean")
     return topk.top_provinces(aggregates.province_heat(rows))

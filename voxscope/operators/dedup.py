@@ -49,15 +49,35 @@ def time_since_prev(df: DataFrame, user: str = "user_id", ts: str = "create_time
             .select(*df.columns, out))
 
 
+def burst_rows(df: DataFrame, max_gap: float = 10, max_length: int = 20, user: str = "user_id",
+               ts: str = "create_time", text: str = "content_clean", tie: str = "comment_id",
+               bucket_seconds: int = 3600) -> DataFrame:
+    """(user, ts, tie) of short rows that follow the user's previous row too soon.
+
+    The gap counts from the previous row even when that row is itself spam.  Only these columns and
+    whether a text is short are shuffled, never the texts.  Rows without a user follow nobody.
+    """
+    slim = df.filter(F.col(user).isNotNull()).select(user, ts, tie, F.coalesce(
+        F.length(text) < max_length, F.lit(False)).alias("_short"))
+    gaps = time_since_prev(slim, user, ts, tie, "_gap", bucket_seconds)
+    return gaps.filter(F.col("_short") & (F.col("_gap") < max_gap)).select(user, ts, tie).distinct()
+
+
+def without_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
+    """``df`` without the rows that equal one of ``rows`` in all of its columns, nulls included."""
+    same = F.lit(True)
+    for c in rows.columns:
+        same = same & df[c].eqNullSafe(rows[c])
+    return df.join(rows, same, "left_anti")
+
+
 def burst_spam_filter(df: DataFrame, max_gap: float = 10, max_length: int = 20, user: str = "user_id",
                       ts: str = "create_time", text: str = "content_clean", tie: str = "comment_id",
                       bucket_seconds: int = 3600) -> DataFrame:
-    """Drop short rows that follow the user's previous row too soon.
+    """Drop short rows that follow the user's previous row too soon; see :func:`burst_rows`.
 
-    The gap counts from the previous row even when that row is itself dropped.
+    Rows are told apart by user, time and ``tie``.  ``df`` is read twice; stage it first when it is expensive.
     """
     if not {user, ts, text} <= set(df.columns):
         return df
-    gaps = time_since_prev(df, user, ts, tie, "_gap", bucket_seconds)
-    spam = F.coalesce((F.col("_gap") < max_gap) & (F.length(text) < max_length), F.lit(False))
-    return gaps.filter(~spam).drop("_gap")
+    return without_rows(df, burst_rows(df, max_gap, max_length, user, ts, text, tie, bucket_seconds))

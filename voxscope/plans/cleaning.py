@@ -101,22 +101,27 @@ def filter_noise(df: DataFrame, options: CleaningOptions = CleaningOptions()) ->
     return filters.exclude_bot_avatar(df)
 
 
-def unique_texts(raw: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
-    """Steps 1 to 4 and the first row per cleaned text, as a stored table."""
+def unique_texts(raw: DataFrame, options: CleaningOptions = CleaningOptions(), columns: list[str] | None = None) -> DataFrame:
+    """Steps 1 to 4 and the first row per cleaned text, as a stored table of the named columns, or of all.
+
+    Texts are compared by hash first, so that sorting seldom looks at them.
+    """
     df = prepared(raw, options, drop_empty=False)
     if "content_clean" not in df.columns:
         return df
     # All empty texts are one duplicate group here; the stored table is then filtered cheaply.
-    df = stage(dedup.dedup_keep_first(df, "content_clean", list(options.order)), "unique-texts")
-    return filters.drop_empty_text(df)
+    keyed = df.withColumn("_hash", F.xxhash64("content_clean"))
+    first = dedup.dedup_keep_first(keyed, ["_hash", "content_clean"], list(options.order)).drop("_hash")
+    return filters.drop_empty_text(stage(first.select(columns) if columns else first, "unique-texts"))
 
 
 def deduplicated(raw: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
-    """Steps 1 to 5, with stored tables where a later step reads its input twice."""
+    """Steps 1 to 5; the texts are stored once, and beside them only the keys of the spam rows."""
     df = unique_texts(raw, options)
     if not {"user_id", "create_time", "content_clean"} <= set(df.columns):
         return df
-    return dedup.burst_spam_filter(df, options.burst_seconds, options.burst_length, tie=options.order[0])
+    spam = dedup.burst_rows(df, options.burst_seconds, options.burst_length, tie=options.order[0])
+    return dedup.without_rows(df, stage(spam, "bursts"))
 
 
 def clean_comments(raw: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
@@ -126,7 +131,6 @@ def clean_comments(raw: DataFrame, options: CleaningOptions = CleaningOptions())
     """
     df = deduplicated(raw, options)
     if {"user_id", "comment_id", "like_count", "sub_comment_count"} <= set(df.columns):
-        df = stage(df, "without-bursts")
         stats = stage(aggregates.user_activity(df), "user-activity")
         limit = joins.activity_threshold(stats, options.kol_quantile)
         df = joins.flag_kol(joins.attach_user_stats(df, stats), limit)

@@ -13,6 +13,7 @@ from ..functions import html as H
 from ..functions import links, numbers, text, times
 from ..functions.nested import flatten_payload
 from ..operators.merge import union_by_name
+from ..session import stage_path
 
 COMMENT_FIELDS = {
     "xhs": {
@@ -274,8 +275,13 @@ def union_platforms(payloads: DataFrame, platform: str = "platform", payload: st
 
     Rows of other platforms are not in the result: see :func:`unknown_platforms`.
     """
-    named = payloads.withColumn(platform, _platform_name(platform))
-    return union_by_name(*[comments_of(name, named.filter(F.col(platform) == name), payload)
+    spark = payloads.sparkSession
+    # Read once and stored by platform; each mapping then reads its own part only.
+    path = stage_path(spark, "payloads")
+    named = payloads.select(_platform_name(platform).alias("platform"), F.col(payload).alias("payload"))
+    named.filter(F.col("platform").isin(*COMMENT_FIELDS)).hint("rebalance", "platform").write.partitionBy("platform").parquet(path)
+    stored = spark.read.schema(named.schema).parquet(path)
+    return union_by_name(*[comments_of(name, stored.filter(F.col("platform") == name), "payload")
                            for name in COMMENT_FIELDS])
 
 
