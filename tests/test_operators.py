@@ -3,6 +3,7 @@
 import json
 import math
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -379,3 +380,27 @@ def test_streams_over_several_batches(spark, tmp_path):
     # A second run finds nothing new and still returns the table.
     again = jobs.stream_upsert(stream(), path, ["user_id"], ["comment_id"], update=["comment_id", "create_time"])()
     assert rows_of(again) == rows_of(want)
+
+
+def _write_times(spark, folder, batches):
+    """One file per batch of (second, id, text), in order of their names."""
+    for n, rows in enumerate(batches):
+        df = spark.createDataFrame([(i, f"2024-01-01 {s // 3600:02d}:{s // 60 % 60:02d}:{s % 60:02d}", t) for s, i, t in rows],
+                                   "id int, at string, text string").withColumn("at", F.col("at").cast("timestamp_ntz"))
+        df.coalesce(1).write.mode("append").parquet(str(folder))
+        time.sleep(1.1)  # file sources go by the time of the file
+    return df.schema
+
+
+def test_keys_expire_in_a_stream(spark, tmp_path):
+    schema = _write_times(spark, tmp_path / "in", [[(0, 1, "a")], [(10, 1, "a"), (7200, 2, "b")], [(7300, 3, "c")], [(7400, 1, "a")]])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = jobs.append_rows(jobs.stream_expiring_dedup(stream, ["id"], "at", "1 minute"), str(tmp_path / "out"))()
+    assert sorted(r.id for r in got.collect()) == [1, 1, 2, 3]  # the late copy is dropped, the one after expiry is new
+
+
+def test_upserts_of_several_files(spark, tmp_path):
+    schema = _write_times(spark, tmp_path / "in", [[(0, 1, "a"), (1, 2, "b")], [(2, 1, "c")], [(3, 3, "d"), (4, 1, "e")]])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = jobs.stream_upsert(stream, str(tmp_path / "out"), ["id"], ["at"])()
+    assert sorted((r.id, r.text) for r in got.collect()) == [(1, "e"), (2, "b"), (3, "d")]

@@ -11,16 +11,14 @@ import os
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators import merge
 from ..operators.dedup import burst_spam_filter
 from ..session import stage_path
-from ..sources.csv_safe import is_missing
+from ..sources.sinks import read_if_exists, upsert_table
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet",
@@ -47,45 +45,27 @@ def _previous(spark: SparkSession, path: str, batch_id: int, empty: T.StructType
     return spark.read.schema(empty).parquet(_version(path, batch_id - 1))
 
 
-def _newest(spark: SparkSession, path: str, last: int, schema: T.StructType) -> DataFrame:
-    """The newest version; looked up when this run had nothing to do."""
-    if last < 0:
-        stored = T.StructType([*schema.fields, T.StructField("version", T.IntegerType())])
-        try:
-            versions = spark.read.schema(stored).option("basePath", path).parquet(os.path.join(path, "version=*"))
-        except AnalysisException as error:
-            if not is_missing(error):
-                raise
-            return spark.createDataFrame([], schema)
-        last = versions.agg(F.max("version")).first()[0]
-        if last is None:
-            return spark.createDataFrame([], schema)
-    return _previous(spark, path, last + 1, schema)
-
-
 def stream_upsert(stream: DataFrame, path: str, keys: list[str], order: list[str],
                   update: list[str] | None = None) -> Callable[[], DataFrame]:
-    """Merge each batch into a versioned table; call the result to read the newest version.
+    """Merge each batch into a keyed table; call the result to read it.
 
-    Batch n reads version n-1 and writes version n, so running a batch again changes nothing.
+    A batch rewrites the buckets its keys fall into.  Running it again writes the same rows.
     """
-    schema = stream.schema
-    last = [-1]
+    schema, table = stream.schema, os.path.join(path, "table")
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        old = _previous(batch.sparkSession, path, batch_id, schema)
-        merged = merge.upsert_partial(old, batch, keys, update, order) if update else \
-            merge.upsert_all(old, batch, keys, order)
-        merged.write.mode("overwrite").parquet(_version(path, batch_id))
-        last[0] = batch_id
+        upsert_table(batch, table, keys, order, update)
 
     run(stream.writeStream.foreachBatch(merge_batch), os.path.join(path, "_checkpoint"))
-    return lambda: _newest(stream.sparkSession, path, last[0], schema)
+    return lambda: read_if_exists(stream.sparkSession, table, schema).select(schema.names)
 
 
 def stream_daily_trend(stream: DataFrame, ts: str = "create_time", score: str = "sentiment_score",
                        late: str = "2 days") -> DataFrame:
-    """Rows and mean sentiment per day; a day is final once the watermark has passed it."""
+    """Rows and mean sentiment per day; a day is final once the watermark has passed it.
+
+    Rows more than ``late`` behind the newest are not counted; the stream's progress reports how many these were.
+    """
     timed = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", late)
     return (timed.groupBy(F.window("_ts", "1 day").alias("_w"))
             .agg(F.count("*").alias("daily_count"), F.round(F.avg(score), 2).alias("daily_sentiment"))
@@ -93,22 +73,17 @@ def stream_daily_trend(stream: DataFrame, ts: str = "create_time", score: str =
 
 
 def collect_updates(result: DataFrame, path: str, keys: list[str]) -> Callable[[], DataFrame]:
-    """Run an updating aggregation to its end; call the result for the last value per key."""
-    schema = result.schema
+    """Run an updating aggregation to its end; call the result for the last value per key.
+
+    Updates go into a keyed table, so reading costs the keys and not the updates ever made.
+    """
+    schema, table = result.schema, os.path.join(path, "table")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(_version(path, batch_id))
+        upsert_table(batch.withColumn("_batch", F.lit(batch_id)), table, keys, ["_batch"])
 
     run(result.writeStream.outputMode("update").foreachBatch(write), os.path.join(path, "_checkpoint"))
-
-    def read() -> DataFrame:
-        stored = T.StructType([*schema.fields, T.StructField("_batch", T.IntegerType())])
-        rows = result.sparkSession.read.schema(stored).parquet(os.path.join(path, "version=*"))
-        rest = [c for c in schema.names if c not in keys]
-        return (rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_row"))
-                .select(*keys, "_row.*"))
-
-    return read
+    return lambda: read_if_exists(result.sparkSession, table, schema).select(schema.names)
 
 
 def stream_expiring_dedup(stream: DataFrame, keys: list[str], ts: str, ttl: str) -> DataFrame:
