@@ -6,8 +6,8 @@ overlapping windows of two blocks: a position sees its own block up to itself an
 scored once.  All blocks of many texts are one batched, masked attention.
 
 Beside it stands the base score: add-one unigram word probabilities over all training documents.  Documents are dealt
-once into chunks; a chunk names its distinct words, their counts are added up over the corpus and only what a chunk
-cannot know by itself comes back to it.
+once into chunks; a chunk hands the counts of its distinct words, by range of their hash, to shards that add them up over
+the corpus and hand back one total per word.  A word that stands in every text is one entry per chunk.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .language_id import held_out
-from .words import Words, chunk_number
+from .words import Words, chunk_number, shard_parts
 
 DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -207,18 +207,33 @@ def _blocks(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def fit_model(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", sample_docs: int = SAMPLE_DOCS, steps: int = STEPS) -> AttentionModel:
     """Train on at most ``sample_docs`` training rows with a text, the first by hash; a bounded sample of whole texts."""
-    rows = docs.where(~held_out(F.col("doc_id"), 7, 2) & F.col(text).isNotNull()).select("doc_id", text).orderBy(
-        F.xxhash64("doc_id", text), "doc_id").limit(sample_docs).collect()
+    rows = docs.where(~held_out(F.col("doc_id"), 7, 2) & F.col(text).isNotNull())
+    key = F.xxhash64("doc_id", text)
+    chosen = [r[0] for r in rows.select(key.alias("key")).distinct().orderBy("key").limit(sample_docs).collect()]
+    picked = rows.where(key.isin(chosen)).select(key.alias("key"), text).dropDuplicates(["key"]).collect() if chosen else []
     encode = encoder(ranks).encode_ordinary
-    return AttentionModel.fresh().train([np.array(encode(r[1]), dtype=np.int64) for r in rows], steps)
+    return AttentionModel.fresh().train([np.array(encode(r[1]), dtype=np.int64) for r in sorted(picked)], steps)
 
 
 def _word_counts(texts: pa.ChunkedArray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray]:
     words = Words.of(texts)
-    hashes, number = np.unique(words.hashes(lower=True).view(np.int64), return_inverse=True)
+    hashes, number = np.unique(words.hashes(lower=True), return_inverse=True)
     return hashes, np.bincount(number, weights=trained[words.row], minlength=len(hashes)).astype(np.int64), words, number
 
 
+def _add_up(table: pa.Table) -> pa.Table:
+    """For each chunk the corpus totals of its words, and in a row without chunk the sum and number of those that occur."""
+    hashes = [np.frombuffer(x, dtype=np.uint64) for x in table["hashes"].to_pylist()]
+    counts = [np.frombuffer(x, dtype=np.int64) for x in table["counts"].to_pylist()]
+    _, number = np.unique(np.concatenate(hashes), return_inverse=True)
+    totals = np.bincount(number, weights=np.concatenate(counts)).astype(np.int64)
+    parts = np.split(totals[number], np.cumsum([len(h) for h in hashes])[:-1])
+    n = len(hashes)
+    return pa.table({"chunk": pa.array(table["chunk"].to_pylist() + [None], pa.int32()), "shard": pa.array(
+        table["shard"].to_pylist() + [None], pa.int32()), "totals": pa.array([t.tobytes() for t in parts] + [None], pa.binary()),
+        "w": pa.array([None] * n + [int(totals.sum())], pa.int64()), "v": pa.array([None] * n + [int((totals > 0).sum())], pa.int64())})
+
+
 def score_texts(docs: DataFrame, text: str = "text", ranks_path: str = DEFAULT_RANKS, model: AttentionModel | None = None,
                 rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
     """One row per input row: struct ``row`` (its columns but the text), ``held_out``, ``n_tokens``, ``n_known``,
@@ -231,19 +246,25 @@ def score_texts(docs: DataFrame, text: str = "text", ranks_path: str = DEFAULT_R
     spark = docs.sparkSession
     ranks = read_ranks(ranks_path)
     shared = spark.sparkContext.broadcast((ranks, (model or fit_model(docs, ranks, text)).p))
-    number, _ = chunk_number(docs, F.struct("doc_id", text), rows_per_chunk)
+    number, chunks = chunk_number(docs, F.struct("doc_id", text), rows_per_chunk)
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("__row")
     texts = docs.select(number.alias("__chunk"), F.col(text).alias("__text"), held_out(F.col("doc_id"), 7, 2).alias("__out"), rest)
 
+    shards = max(1, -(-chunks // 4))
+
     def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         hashes, n, _, _ = _word_counts(table["__text"], ~table["__out"].to_numpy())
-        return pa.table({"chunk": pa.array(np.full(len(hashes), key[0].as_py()), pa.int32()), "hash": hashes, "n": n})
+        shard, cut = shard_parts(hashes, shards)
+        parts, counts = (np.split(x, cut) if len(hashes) else [] for x in (hashes, n))
+        return pa.table({"shard": pa.array(shard, pa.int32()), "chunk": pa.array([key[0].as_py()] * len(parts), pa.int32()), "hashes": pa.array(
+            [x.tobytes() for x in parts], pa.binary()), "counts": pa.array([x.tobytes() for x in counts], pa.binary())})
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         out = left["__out"].to_numpy()
-        hashes, counts, words, number = _word_counts(left["__text"], ~out)
+        _, counts, words, number = _word_counts(left["__text"], ~out)
         if len(right):
-            counts[np.searchsorted(hashes, right["hash"].to_numpy())] = right["c"].to_numpy()
+            parts = sorted(zip(right["shard"].to_pylist(), right["totals"].to_pylist()))
+            counts = np.concatenate([np.frombuffer(x, dtype=np.int64) for _, x in parts])
         rows = words.rows
         sums = np.bincount(words.row, weights=np.log10(counts[number] + 1), minlength=rows)
         known = np.bincount(words.row[counts[number] > 0], minlength=rows)
@@ -254,14 +275,13 @@ def score_texts(docs: DataFrame, text: str = "text", ranks_path: str = DEFAULT_R
         return pa.table({"__row": left["__row"], "held_out": left["__out"], "words": pa.array(words.counts(), pa.int64()), "known": pa.array(
             known, pa.int64()), "sums": sums, "score": scores})
 
-    counted = texts.groupBy("__chunk").applyInArrow(count, "chunk int, hash long, n long")
-    totals = counted.groupBy("hash").agg(F.sum("n").alias("c"))
-    # A chunk knows the words that only it holds; of the others it needs the counts.
-    wanted = counted.join(totals, "hash").where("c <> n").select("chunk", "hash", "c")
+    added = texts.groupBy("__chunk").applyInArrow(count, "shard int, chunk int, hashes binary, counts binary").groupBy("shard").applyInArrow(
+        _add_up, "chunk int, shard int, totals binary, w long, v long")
+    wanted = added.where("chunk IS NOT NULL").select("chunk", "shard", "totals")
     row = texts.schema["__row"].dataType.simpleString()
     found = texts.groupBy("__chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(
         score, f"__row {row}, held_out boolean, words long, known long, sums double, score double")
-    sizes = totals.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("w"), F.count(F.when(F.col("c") > 0, 1)).alias("v"))
+    sizes = added.where("chunk IS NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("w", "v")])
     ends = docs.where(~held_out(F.col("doc_id"), 7, 2)).agg(F.count("*").alias("ends"))
     all_ = sizes.join(ends, F.lit(True)).select((F.col("w") + F.col("ends")).alias("train_tokens"), (F.col("v") + F.when(
         F.col("ends") > 0, 1).otherwise(0)).alias("v"), "ends")

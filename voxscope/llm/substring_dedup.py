@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import Words, chunk_number, joined, window_hashes
+from .words import Words, chunk_number, joined, shard_parts, window_hashes
 
 WINDOW = 35
 CHUNK_ROWS = 2000
@@ -124,13 +124,10 @@ def _read_bits(table: pa.Table) -> dict[int, np.ndarray]:
 
 def _emit(texts, chunk: int, level: int, bits: dict, length: int, shards: int) -> pa.Table:
     hashes, counts, _ = _Chunk(texts, length).candidates(level, bits)
-    shard = ((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-    cut = np.flatnonzero(np.diff(shard)) + 1
-    parts, twice = np.split(hashes, cut), np.split(counts > 1, cut)
-    if not len(hashes):
-        parts, twice = [], []
+    shard, cut = shard_parts(hashes, shards)
+    parts, twice = (np.split(x, cut) if len(hashes) else [] for x in (hashes, counts > 1))
     return pa.table({
-        "shard": pa.array([int(s) for s in (shard[np.r_[0, cut]] if len(hashes) else [])], pa.int32()),
+        "shard": pa.array(shard, pa.int32()),
         "chunk": pa.array([chunk] * len(parts), pa.int32()), "level": pa.array([level] * len(parts), pa.int32()),
         "hashes": pa.array([p.tobytes() for p in parts], pa.binary()),
         "twice": pa.array([np.packbits(t).tobytes() for t in twice], pa.binary())})

@@ -120,6 +120,13 @@ def chunk_number(docs: DataFrame, key: Column, rows_per_chunk: int) -> tuple[Col
     return F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int"), chunks
 
 
+def shard_parts(hashes: np.ndarray, shards: int) -> tuple[list[int], np.ndarray]:
+    """The shards, by range, that sorted hashes fall into, and where each next one begins."""
+    shard = ((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+    cut = np.flatnonzero(np.diff(shard)) + 1
+    return [int(s) for s in (shard[np.r_[0, cut]] if len(hashes) else [])], cut
+
+
 def fresh(name: str, columns: list[str]) -> str:
     """``name`` with as many underscores as keep it apart from ``columns``."""
     taken = {c.lower() for c in columns}
