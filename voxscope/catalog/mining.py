@@ -9,8 +9,10 @@ from ..functions.tokens import drop_stop_words, tokenize
 from ..operators import aggregates, mining
 from ..plans import topics
 from ..session import stage
+from .aggregate import _BUCKET
 from .base import Registry, with_comments
 from .scalar import FILTERED_SQL, STOPS, TOKENS_SQL, TRAINING_NET, training_score
+from .text import q
 
 registry = Registry()
 add = registry.add
@@ -155,6 +157,38 @@ def _(t):
     return topics.train_classifier(t.comments, "comment_id")[2]
 
 
+_SPLIT = _BUCKET.format(salt=q("split"), key="comment_id")
+_PREDICTED = f""", r AS MATERIALIZED ({_LABELLED}), tr AS (SELECT * FROM r WHERE {_SPLIT} < 80), te AS (SELECT * FROM r WHERE {_SPLIT} >= 80),
+ w AS MATERIALIZED (SELECT label, unnest(words) AS term FROM tr), c AS (SELECT label, term, count(*) AS tf FROM w GROUP BY ALL),
+ s AS (SELECT label, sum(tf) AS total FROM c GROUP BY 1), v AS MATERIALIZED (SELECT DISTINCT term FROM w),
+ th AS MATERIALIZED (SELECT s.label, v.term, ln(coalesce(c.tf, 0) + 1e0) - ln(s.total + (SELECT count(*) FROM v)) AS theta
+  FROM s CROSS JOIN v LEFT JOIN c ON c.label = s.label AND c.term = v.term),
+ pr AS (SELECT label, ln(count(*) + 1e0) - ln((SELECT count(*) FROM tr) + (SELECT count(DISTINCT label) FROM tr)) AS prior FROM tr GROUP BY 1),
+ x AS (SELECT comment_id, term, count(*) AS tf FROM (SELECT comment_id, unnest(words) AS term FROM te) AS u GROUP BY ALL),
+ z AS (SELECT x.comment_id, th.label, sum(x.tf * th.theta) AS t FROM x JOIN th USING (term) GROUP BY ALL),
+ p AS (SELECT te.comment_id, te.label, pr.label AS prediction FROM te CROSS JOIN pr LEFT JOIN z ON z.comment_id = te.comment_id AND z.label = pr.label
+  QUALIFY row_number() OVER (PARTITION BY te.comment_id ORDER BY prior + coalesce(t, 0) DESC, pr.label) = 1)"""
+
+
+def _predicted(t):
+    rows = stage(topics.labelled_rows(t.comments).select("comment_id", "label", "words"), "labelled")
+    train, test = mining.random_split(rows, "comment_id")
+    priors, thetas = mining.naive_bayes_parameters(train)
+    found = mining.naive_bayes_predict(test, "comment_id", priors, thetas)
+    return test.select("comment_id", "label").join(found, "comment_id")
+
+
+@add("naive_bayes_predictions", with_comments(f"{_PREDICTED} SELECT comment_id, label, prediction FROM p"))
+def _(t):
+    return _predicted(t)
+
+
+@add("naive_bayes_accuracy", with_comments(f"""{_PREDICTED} SELECT round(avg(CASE WHEN label = prediction THEN 1e0 ELSE 0e0 END), 6)
+ AS accuracy FROM p"""))
+def _(t):
+    return aggregates.accuracy(_predicted(t)).select(F.round("accuracy", 6).alias("accuracy"))
+
+
 @add("accuracy", with_comments(f"""SELECT round(avg(CASE WHEN (CASE WHEN {TRAINING_NET} > 0 THEN 1e0 ELSE 0e0 END)
  = (CASE WHEN like_count % 2 = 0 THEN 1e0 ELSE 0e0 END) THEN 1e0 ELSE 0e0 END), 6) AS accuracy FROM comments"""))
 def _(t):

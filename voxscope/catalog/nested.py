@@ -62,15 +62,17 @@ def _(t):
         "missing": ("View.rights.pay", "none")})
 
 
-@add("flatten_cards", """SELECT conv_id, turn, unnest(CASE WHEN turn % 2 = 0 THEN ['t' || CAST(turn AS VARCHAR)]
- ELSE [] END || CASE WHEN length(text) > 100 THEN ['g1', 'g3'] ELSE ['g1'] END) AS card FROM conversations""")
+@add("flatten_cards", """SELECT conv_id, turn, card, CASE WHEN card = 'g3' THEN md5(text) WHEN card = 'g1' THEN role
+ ELSE md5(role) END AS body FROM (SELECT conv_id, turn, text, role, unnest(CASE WHEN turn % 2 = 0 THEN ['t' || CAST(turn AS VARCHAR)]
+ ELSE [] END || CASE WHEN length(text) > 100 THEN ['g1', 'g3'] ELSE ['g1'] END) AS card FROM conversations) AS c""")
 def _(t):
     cards = F.expr("""array(
-      named_struct('card_type', CASE WHEN turn % 2 = 0 THEN 9 ELSE 11 END, 'id', concat('t', turn), 'card_group',
-        array(named_struct('card_type', 9, 'id', 'g1'), named_struct('card_type', 4, 'id', 'g2'))),
-      named_struct('card_type', 4, 'id', 'x', 'card_group', array(named_struct('card_type',
-        CASE WHEN length(text) > 100 THEN 9 ELSE 1 END, 'id', 'g3'))))""")
-    return t.conversations.select("conv_id", "turn", F.explode(nested.flatten_cards(cards)).alias("card"))
+      named_struct('card_type', CASE WHEN turn % 2 = 0 THEN 9 ELSE 11 END, 'id', concat('t', turn), 'mblog', md5(role), 'card_group',
+        array(named_struct('card_type', 9, 'id', 'g1', 'mblog', role), named_struct('card_type', 4, 'id', 'g2', 'mblog', role))),
+      named_struct('card_type', 4, 'id', 'x', 'mblog', md5(role), 'card_group', array(named_struct('card_type',
+        CASE WHEN length(text) > 100 THEN 9 ELSE 1 END, 'id', 'g3', 'mblog', md5(text)))))""")
+    return t.conversations.select("conv_id", "turn", F.explode(nested.flatten_cards(cards)).alias("c")).select(
+        "conv_id", "turn", F.col("c.id").alias("card"), F.col("c.mblog").alias("body"))
 
 
 @add("flatten_sub_comments", """SELECT conv_id, turn, md5(text) AS text_md5 FROM conversations

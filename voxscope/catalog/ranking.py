@@ -89,6 +89,16 @@ def _(t):
     return merge.union_by_name(*found)
 
 
+@add("ranked_search_contents", """(SELECT 'most_clicked' AS sort, doc_id AS content_id FROM documents ORDER BY n_chars DESC, doc_id LIMIT 50)
+ UNION ALL (SELECT 'most_marked', doc_id FROM documents ORDER BY n_chars % 97 DESC, doc_id LIMIT 50)
+ UNION ALL (SELECT 'most_bullet_comments', doc_id FROM documents ORDER BY n_chars % 89 DESC, doc_id LIMIT 50)""")
+def _(t):
+    posts = t.documents.select(F.col("doc_id").alias("content_id"), F.col("n_chars").alias("view_count"), (
+        F.col("n_chars") % 97).alias("collect_count"), (F.col("n_chars") % 89).alias("bullet_count"))
+    return merge.union_by_name(*[topk.ranked_search(posts, s, 50, "content_id").select(F.lit(s).alias("sort"), "content_id")
+                                 for s in ("most_clicked", "most_marked", "most_bullet_comments")])
+
+
 @add("union_by_name", """SELECT doc_id, text_md5, lang, quality FROM (
  SELECT doc_id, md5(text) AS text_md5, lang, NULL AS quality FROM documents
  UNION ALL SELECT doc_id, NULL, NULL, quality FROM labels) AS u""")

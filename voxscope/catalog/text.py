@@ -255,6 +255,21 @@ def _(t):
         F.expr(_PLATFORM_OF), F.col("note_id").cast("string"), F.col("nickname")).alias("link"))
 
 
+@add("build_answer_link", with_comments("""SELECT comment_id, concat('https://www.zhihu.com/question/', CAST(note_id AS STRING),
+ '/answer/', CAST(comment_id AS STRING)) AS link FROM comments"""))
+def _(t):
+    return t.comments.select("comment_id", links.build_link(F.lit("zhihu"), F.col("comment_id").cast("string"), question=F.col(
+        "note_id").cast("string")).alias("link"))
+
+
+@add("build_profile_link", with_comments("""SELECT comment_id, CASE comment_id % 3
+ WHEN 0 THEN concat('https://www.zhihu.com/people/', u) WHEN 1 THEN concat('https://space.bilibili.com/', u) END AS link
+ FROM (SELECT comment_id, CAST(user_id AS STRING) AS u FROM comments) AS s"""))
+def _(t):
+    platform = F.when(F.col("comment_id") % 3 == 0, "zhihu").when(F.col("comment_id") % 3 == 1, "bilibili").otherwise("elsewhere")
+    return t.comments.select("comment_id", links.build_profile_link(platform, F.col("user_id").cast("string")).alias("link"))
+
+
 _MEDIA = "concat(url, CASE WHEN page_id % 3 = 0 THEN '/spectrum/' ELSE '/' END, md5(url))"
 
 

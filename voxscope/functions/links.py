@@ -129,3 +129,15 @@ def build_link(platform: Column, key: Column, token: Column | None = None,
         .when(platform == "tieba", F.concat(F.lit("https://tieba.baidu.com/p/"), key))
         .when(platform == "zhihu", F.coalesce(
             answer, F.concat(F.lit("https://zhuanlan.zhihu.com/p/"), key))))
+
+
+def build_profile_link(platform: Column, key: Column) -> Column:
+    """Public link of an author; null for platforms without one."""
+    bases = {"xhs": "https://www.xiaohongshu.com/user/profile/", "douyin": "https://www.douyin.com/user/",
+             "kuaishou": "https://www.kuaishou.com/profile/", "bilibili": "https://space.bilibili.com/",
+             "weibo": "https://weibo.com/u/", "tieba": "https://tieba.baidu.com/home/main?id=",
+             "zhihu": "https://www.zhihu.com/people/"}
+    out = F.lit(None).cast("string")
+    for name, base in bases.items():
+        out = F.when(platform == name, F.concat(F.lit(base), key)).otherwise(out)
+    return out

@@ -98,13 +98,15 @@ def flatten_payload(df: DataFrame, payload: str, fields: Mapping[str, tuple[str,
 
 
 def flatten_cards(cards: Column, wanted: int = 9) -> Column:
-    """Cards of the wanted type, each followed by such cards of its group."""
+    """Whole cards of the wanted type, each followed by such cards of its group.
+
+    ``cards`` is an array of structs with ``card_type``, an array ``card_group`` of structs, and whatever else a card holds;
+    the elements of a group have the same fields but ``card_group``.
+    """
     def own_and_group(card: Column) -> Column:
-        own = F.when(card["card_type"] == wanted, F.array(card["id"]))
-        group = F.filter(card["card_group"], lambda inner: inner["card_type"] == wanted)
-        empty = F.array().cast("array<string>")
-        return F.concat(F.coalesce(own, empty),
-                        F.coalesce(F.transform(group, lambda inner: inner["id"]), empty))
+        group = F.coalesce(F.filter(card["card_group"], lambda inner: inner["card_type"] == wanted), F.slice(card["card_group"], 1, 0))
+        own = F.filter(F.array(card.dropFields("card_group")), lambda c: c["card_type"] == wanted)
+        return F.when(card["card_group"].isNull(), own).otherwise(F.concat(own, group))
 
     return F.flatten(F.transform(cards, own_and_group))
 

@@ -155,6 +155,23 @@ def keyed_bucket(key: Column, salt: str = "", buckets: int = 100) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets
 
 
+def naive_bayes_predict(rows: DataFrame, key: str, priors: DataFrame, thetas: DataFrame, tokens: str = "words",
+                        label: str = "label") -> DataFrame:
+    """(key, prediction): the label with the highest log probability; of equal ones the smallest.
+
+    Terms that training never saw are ignored.  A row's terms are counted first, so a common term is joined once per row;
+    the skew join splits it.
+    """
+    counts = term_counts(rows, key, tokens)
+    joined = counts.join(thetas.withColumnRenamed(label, "_label"), "term")
+    sums = joined.groupBy(key, "_label").agg(F.sum(F.col("tf") * F.col("log_theta")).alias("_sum"))
+    # One row per class beside each row to predict.
+    kinds = F.array(*[F.struct(F.lit(r[0]).alias("_label"), F.lit(r[1]).alias("_prior")) for r in priors.select(label, "log_prior").orderBy(label).collect()])
+    grid = rows.select(key, F.inline(kinds)).join(sums, [key, "_label"], "left")
+    best = grid.groupBy(key).agg(F.max(F.struct((F.col("_prior") + F.coalesce("_sum", F.lit(0.0))).alias("s"), (-F.col("_label")).alias("l"))).alias("b"))
+    return best.select(key, (-F.col("b.l")).alias("prediction"))
+
+
 def random_split(df: DataFrame, key: str, train: float = 0.8, salt: str = "split") -> tuple[DataFrame, DataFrame]:
     """Disjoint train and test rows, decided by the key and not by the partition layout."""
     limit = round(train * 100)

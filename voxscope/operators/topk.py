@@ -82,7 +82,8 @@ def node_tiers(ranks: DataFrame, shown: int = 50, labelled: int = 10, highlighte
 SORTS = {
     "popular": ("like_count", True), "most_liked": ("like_count", True),
     "most_replied": ("sub_comment_count", True), "latest": ("create_time", True),
-    "oldest": ("create_time", False),
+    "oldest": ("create_time", False), "most_clicked": ("view_count", True), "most_marked": ("collect_count", True),
+    "most_bullet_comments": ("bullet_count", True),
 }
 
 
