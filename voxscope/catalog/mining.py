@@ -112,6 +112,25 @@ def _(t):
     return clusters.select("vec_id", "label", "cluster_id")
 
 
+def _lloyd_sql(k: int, rounds: int) -> str:
+    parts = ["e AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings)",
+             "c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) - 1 AS INT) AS cluster, f AS centre "
+             f"FROM e ORDER BY cluster LIMIT {k})"]
+    for i in range(rounds + 1):
+        parts.append(f"a{i} AS MATERIALIZED (SELECT vec_id, f, cluster FROM e CROSS JOIN c{i} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY "
+                     "list_sum(list_transform(list_zip(f, centre), lambda x: (x[1] - x[2]) * (x[1] - x[2]))), cluster) = 1)")
+        parts.append(f"c{i + 1} AS MATERIALIZED (SELECT o.cluster, coalesce(n.centre, o.centre) AS centre FROM c{i} o LEFT JOIN (SELECT cluster, "
+                     "list(m ORDER BY j) AS centre FROM (SELECT cluster, j, avg(x) AS m FROM (SELECT cluster, unnest(f) AS x, "
+                     f"generate_subscripts(f, 1) AS j FROM a{i}) AS u GROUP BY ALL) AS v GROUP BY cluster) AS n USING (cluster))")
+    return f"WITH {', '.join(parts)} SELECT vec_id, cluster AS cluster_id FROM a{rounds}"
+
+
+@add("embedding_clusters_lloyd", _lloyd_sql(4, 5))
+def _(t):
+    rows = stage(t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("f")), "vectors")
+    return mining.lloyd(rows, "vec_id", "f", 4, 5)
+
+
 @add("pca_points", """SELECT count(*) AS n, 0e0 AS mean_product FROM embeddings""")
 def _(t):
     # Projections are uncorrelated whatever their signs: the centred products cancel out.

@@ -155,6 +155,29 @@ def keyed_bucket(key: Column, salt: str = "", buckets: int = 100) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets
 
 
+def lloyd(df: DataFrame, key: str, features: str, k: int, rounds: int) -> DataFrame:
+    """(key, cluster_id) after ``rounds`` rounds of Lloyd's k-means over an array column.
+
+    The first centres are the ``k`` rows whose keys have the smallest MD5, so the result does not depend on the layout.  A row
+    goes to the nearest centre, of equal ones to the first; a centre that gets no row stays.  The driver holds k centres of
+    the width of a row; a round is one aggregation.
+    """
+    starts = df.select(features).orderBy(F.md5(F.col(key).cast("string")), key).limit(k).collect()
+    centres = [list(r[0]) for r in starts]
+
+    def assigned() -> Column:
+        gaps = F.array(*[F.aggregate(F.zip_with(features, F.array(*[F.lit(float(x)) for x in c]), lambda a, b: (a - b) * (a - b)),
+                                     F.lit(0.0), lambda t, x: t + x) for c in centres])
+        return F.aggregate(F.array(gaps), F.lit(0).cast("bigint"), lambda _, g: F.array_position(g, F.array_min(g)) - 1)
+
+    for _ in range(rounds if centres else 0):
+        width = range(len(centres[0]))
+        for row in df.select(assigned().cast("int").alias("_c"), features).groupBy("_c").agg(
+                *[F.avg(F.col(features)[i]).alias(f"m{i}") for i in width]).collect():
+            centres[row["_c"]] = [row[f"m{i}"] for i in width]
+    return df.select(key, (assigned().cast("int") if centres else F.lit(None).cast("int")).alias("cluster_id"))
+
+
 def naive_bayes_predict(rows: DataFrame, key: str, priors: DataFrame, thetas: DataFrame, tokens: str = "words",
                         label: str = "label") -> DataFrame:
     """(key, prediction): the label with the highest log probability; of equal ones the smallest.
