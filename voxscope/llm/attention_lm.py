@@ -56,6 +56,9 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_EARLIER = np.tril(np.ones((BLOCK, BLOCK), dtype=np.float32))  # within a block no position sees a later one
+
+
 def _seen(first: np.ndarray) -> np.ndarray:
     """1 where a position may look: not at later ones, and not at the block before a text's first."""
     seen = np.ones((2, BLOCK, 2 * BLOCK), dtype=np.float32)
@@ -144,27 +147,33 @@ class Scorer:
     def __init__(self, p: dict[str, np.ndarray]):
         scale = np.float32(WIDTH ** -0.5)
         self.p = p
-        self.own = np.stack([p["e"] + 0, p["e"] @ p["q"] * scale, p["e"] @ p["k"], p["e"] @ p["v"]], axis=1).reshape(EDGE + 1, -1)
-        self.at = np.stack([p["pos"], p["pos"] @ p["q"] * scale, p["pos"] @ p["k"], p["pos"] @ p["v"]], axis=1).reshape(2 * BLOCK, -1)
+        self.xq, self.kv = (np.concatenate(x, axis=1) for x in ((p["e"], p["e"] @ p["q"] * scale), (p["e"] @ p["k"], p["e"] @ p["v"])))
+        self.xq_at, self.kv_at = (np.concatenate(x, axis=1) for x in (
+            (p["pos"], p["pos"] @ p["q"] * scale), (p["pos"] @ p["k"], p["pos"] @ p["v"])))
 
     def blocks(self, blocks: np.ndarray, targets: np.ndarray, first: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Natural log probabilities of the targets of each block; ``before`` is the block ahead of the first one."""
         p, w = self.p, WIDTH
-        now = self.own[np.concatenate([before[None], blocks])]
-        here = now[1:] + self.at[BLOCK:]
-        past = now[:-1, :, 2 * w:] + self.at[:BLOCK, 2 * w:]
-        x, q = here[..., :w], here[..., w:2 * w]
-        kv = np.concatenate([past, here[..., 2 * w:]], axis=1)
-        a = q @ kv[..., :w].swapaxes(1, 2)
+        found = self.kv.take(np.concatenate([before[None], blocks]), axis=0)
+        kv = np.empty((len(blocks), 2 * BLOCK, 2 * w), dtype=found.dtype)
+        np.add(found[:-1], self.kv_at[:BLOCK], out=kv[:, :BLOCK])
+        np.add(found[1:], self.kv_at[BLOCK:], out=kv[:, BLOCK:])
+        xq = self.xq.take(blocks, axis=0)
+        xq += self.xq_at[BLOCK:]
+        a = xq[..., w:] @ kv[..., :w].swapaxes(1, 2)
         np.exp(np.clip(a, -_LIMIT, _LIMIT, out=a), out=a)
-        a *= _seen(first)
+        a[:, :, BLOCK:] *= _EARLIER
+        a[first, :, :BLOCK] = 0
         mixed = a @ kv[..., w:]
         mixed /= (a @ np.ones(2 * BLOCK, dtype=a.dtype))[..., None]
-        h = (x + mixed @ p["o"]).reshape(-1, w)
+        h = (xq[..., :w] + mixed @ p["o"]).reshape(-1, w)
         target = np.maximum(targets.ravel(), 0)
         high, low = target // BASE, target % BASE
         total = _log_of(h @ p["u"] + p["ub"], high)
-        total += _log_of(np.maximum(h + p["d"][high], 0) @ p["w"] + p["wb"][high], low)
+        h += p["d"].take(high, axis=0)
+        logits = np.maximum(h, 0, out=h) @ p["w"]
+        logits += p["wb"].take(high, axis=0)
+        total += _log_of(logits, low)
         return np.where(targets.ravel() >= 0, total, 0).reshape(targets.shape)
 
     def score(self, sequences: list[np.ndarray]) -> np.ndarray:
