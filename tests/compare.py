@@ -45,13 +45,19 @@ def _close(a: tuple, b: tuple) -> bool:
                           and math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9)) for x, y in zip(a, b, strict=True))
 
 
-def difference(spark, folder: str, name: str, con=None) -> str | None:
-    """None when both sides agree, else what differs; without a statement only run Spark."""
+def difference(spark, folder: str, name: str, con=None, forbidden: tuple[str, ...] = ()) -> str | None:
+    """None when both sides agree, else what differs; without a statement only run Spark.
+
+    ``forbidden`` are operators that the plan that ran must not have.
+    """
     entry = entries()[name]
     df = entry.run(Tables(spark, folder))
     names, rows = _table(df.columns, df.collect())
     if not rows:
         return "no rows"
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if found := [word for word in forbidden if word in plan]:
+        return f"plan has {', '.join(found)}"
     if entry.sql is None:
         return None
     con = con or duck(folder)
