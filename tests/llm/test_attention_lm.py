@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from voxscope.llm.attention_lm import BASE, BLOCK, EDGE, WIDTH, AttentionModel, _blocks, encoder, read_ranks, score_texts
+from voxscope.llm.attention_lm import BASE, BLOCK, EDGE, WIDTH, AttentionModel, _blocks, encoder, read_ranks, fit_model, score_texts
 
 TRANSLATE = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -101,3 +101,21 @@ def test_empty_tables_and_nothing_to_learn(make):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     row, = score_texts(make([(held, "a b", "en", "s", 0)])).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (3, 0, 0, 0.0)
+
+
+def test_every_training_document_teaches(make, monkeypatch):
+    """A word that stands in few documents, whatever their hashes, changes the model; so does each share of the rows."""
+    monkeypatch.setattr("voxscope.llm.attention_lm.SHARE_ROWS", 10)
+    common = [(i, f"the cat {i} sat on the mat", "en", "s", 0) for i in range(60)]
+    ranks = read_ranks()
+    fit = lambda rows: fit_model(make(rows), ranks, rounds=2, rows_per_chunk=10, windows=8)
+    plain, again = fit(common), fit(common)
+    assert all(np.array_equal(plain.p[n], again.p[n]) for n in plain.p)
+    train = [i for i, *_ in common if zlib.crc32(str(i).encode()) % 7 != 2]
+    assert len(train) < len(common)
+    for i in train[::10]:
+        other = fit([(j, "zzqx zzqx" if i == j else t, *rest) for j, t, *rest in common])
+        assert not np.array_equal(other.p["u"], plain.p["u"]), i
+    held = next(i for i, *_ in common if i not in train)
+    same = fit([(j, "zzqx zzqx" if held == j else t, *rest) for j, t, *rest in common])
+    assert all(np.array_equal(plain.p[n], same.p[n]) for n in plain.p)

@@ -5,6 +5,9 @@ predicted as two digits, the second given the first, so no row is as wide as the
 overlapping windows of two blocks: a position sees its own block up to itself and the block before, and every token is
 scored once.  All blocks of many texts are one batched, masked attention.
 
+Every training document teaches, in fixed rounds: chunks step on their own texts from the same parameters, and a weighted
+mean of what they arrive at is where the next round begins.
+
 Beside it stands the base score: add-one unigram word probabilities over all training documents.  Documents are dealt
 once into chunks; a chunk hands the counts of its distinct words, by range of their hash, to shards that add them up over
 the corpus and hand back one total per word.  A word that stands in every text is one entry per chunk.
@@ -13,12 +16,14 @@ the corpus and hand back one total per word.  A word that stands in every text i
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +34,9 @@ DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BASE, WIDTH, BLOCK = 32, 16, 16  # ids have two digits of this base; numbers per vector; scored tokens per window
 EDGE = BASE * BASE - 1  # the id before and after every text
-SAMPLE_DOCS, STEPS, RATE, CHUNK_ROWS = 1000, 2000, 0.01, 2000
+STEPS, RATE, CHUNK_ROWS = 2000, 0.01, 2000
+ROUNDS, TRAIN_ROWS, SHARE_ROWS, WINDOWS = 8, 1000, 400, 256  # training: rounds, rows of a chunk, least rows of a round, windows of a step
+_FAN, _TEXT_AT_ONCE, _MODEL = 64, 4 << 20, "chunk int, model binary, squares binary, tokens binary"
 _TOKENS_AT_ONCE = 1 << 13  # what the processor caches hold
 _LIMIT = np.float32(60)  # no score or logit is beyond; so exponentials need no shift by the maximum
 
@@ -50,10 +57,18 @@ def encoder(ranks: dict[bytes, int]) -> tiktoken.Encoding:
     return _ENCODERS[len(ranks)]
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=-1, keepdims=True))
-    x /= x.sum(axis=-1, keepdims=True)
-    return x
+def _sum_by(number: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows that share a number."""
+    order = np.argsort(number.astype(np.int16), kind="stable")
+    have, at = np.unique(number[order], return_index=True)
+    out = np.zeros((size, rows.shape[1]), dtype=rows.dtype)
+    out[have] = np.add.reduceat(rows.take(order, axis=0), at, axis=0)
+    return out
+
+
+def _before(blocks: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The block before each, of the same text."""
+    return np.where(first[:, None], EDGE, np.roll(blocks, 1, axis=0))
 
 
 _EARLIER = np.tril(np.ones((BLOCK, BLOCK), dtype=np.float32))  # within a block no position sees a later one
@@ -87,60 +102,109 @@ class AttentionModel:
         blocks, targets, first = _blocks(sequences)
         if not len(blocks):
             return self
-        before = np.where(first[:, None], EDGE, np.roll(blocks, 1, axis=0))
-        m, s = ({n: np.zeros_like(x) for n, x in self.p.items()} for _ in range(2))
-        for step in range(1, steps + 1):
+        before, adam = _before(blocks, first), _Adam(self)
+        for step in range(steps):
             pick = rng.integers(0, len(blocks), windows)
-            for n, g in self._gradients(before[pick], blocks[pick], targets[pick], first[pick]).items():
-                m[n] = 0.9 * m[n] + 0.1 * g
-                s[n] = 0.99 * s[n] + 0.01 * g * g
-                self.p[n] -= (RATE * (1 - 0.9 * step / steps) * (m[n] / (1 - 0.9 ** step)) / (np.sqrt(s[n] / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
+            adam.step((before[pick], blocks[pick], targets[pick], first[pick]), RATE * (1 - 0.9 * (step + 1) / steps))
         return self
 
     def _gradients(self, before: np.ndarray, block: np.ndarray, target: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
-        p, scale = self.p, WIDTH ** -0.5
-        ids = np.concatenate([before, block], axis=1)
-        x = p["e"][ids] + p["pos"]
-        own = x[:, BLOCK:]
-        q, k, v = own @ p["q"], x @ p["k"], x @ p["v"]
-        a = _softmax(np.where(_seen(first) > 0, q @ k.swapaxes(1, 2) * scale, -1e9))
+        p, w = self.p, WIDTH
+        scale = p["e"].dtype.type(w ** -0.5)
+        ids, flat = np.concatenate([before, block], axis=1), lambda t: t.reshape(-1, t.shape[-1])
+        # What depends on an id alone is looked up, and gradients are added up by id before they meet a matrix.
+        qkv = np.concatenate([p["q"] * scale, p["k"], p["v"]], axis=1)
+        by_id, by_place = p["e"] @ qkv, p["pos"] @ qkv
+        kv = by_id[:, w:].take(ids, axis=0)
+        kv += by_place[:, w:]
+        q = by_id[:, :w].take(block, axis=0)
+        q += by_place[BLOCK:, :w]
+        own = p["e"].take(block, axis=0)
+        own += p["pos"][BLOCK:]
+        k, v = kv[..., :w], kv[..., w:]
+        a = q @ k.swapaxes(1, 2)
+        np.exp(np.clip(a, -_LIMIT, _LIMIT, out=a), out=a)
+        a *= _seen(first)
+        a /= (a @ np.ones(2 * BLOCK, dtype=a.dtype))[..., None]
         mixed = a @ v
-        h = own + mixed @ p["o"]
-        valid = target >= 0
-        high, low = np.where(valid, target, 0) // BASE, np.where(valid, target, 0) % BASE
-        dh_logits = _softmax(h @ p["u"] + p["ub"])
-        inner = h + p["d"][high]
+        h = flat(own + mixed @ p["o"])
+        valid = target.ravel() >= 0
+        high, low = np.divmod(np.where(valid, target.ravel(), 0), BASE)
+        share = (valid / max(1, valid.sum())).astype(a.dtype)[:, None]
+        inner = h + p["d"].take(high, axis=0)
         z = np.maximum(inner, 0)
-        dl_logits = _softmax(z @ p["w"] + p["wb"][high])
-        n = max(1, valid.sum())
-        rows, cols = np.indices(target.shape)
+        dh_logits, dl_logits = h @ p["u"] + p["ub"], z @ p["w"] + p["wb"].take(high, axis=0)
+        rows = np.arange(len(h))
         for logits, digit in ((dh_logits, high), (dl_logits, low)):
-            logits[rows, cols, digit] -= 1
-            logits *= valid[..., None] / n
-        g = {name: np.zeros_like(x) for name, x in p.items()}
-        flat = lambda t: t.reshape(-1, t.shape[-1])
-        g["u"], g["ub"] = flat(h).T @ flat(dh_logits), flat(dh_logits).sum(axis=0)
-        g["w"] = flat(z).T @ flat(dl_logits)
-        np.add.at(g["wb"], high.ravel(), flat(dl_logits))
-        dz = (dl_logits @ p["w"].T) * (inner > 0)
-        np.add.at(g["d"], high.ravel(), flat(dz))
+            np.exp(np.clip(logits, -_LIMIT, _LIMIT, out=logits), out=logits)
+            logits /= (logits @ np.ones(BASE, dtype=a.dtype))[:, None]
+            logits[rows, digit] -= 1
+            logits *= share
+        g = {"u": h.T @ dh_logits, "ub": dh_logits.sum(axis=0), "w": z.T @ dl_logits}
+        dz = dl_logits @ p["w"].T
+        dz *= inner > 0
+        g["wb"], g["d"] = np.split(_sum_by(high, np.concatenate([dl_logits, dz], axis=1), BASE), [BASE], axis=1)
         dh = dh_logits @ p["u"].T + dz
-        g["o"] = flat(mixed).T @ flat(dh)
-        dmixed = dh @ p["o"].T
-        da, dv = dmixed @ v.swapaxes(1, 2), a.swapaxes(1, 2) @ dmixed
-        ds = a * (da - (da * a).sum(axis=-1, keepdims=True)) * scale
-        dq, dk = ds @ k, ds.swapaxes(1, 2) @ q
-        g["q"], g["k"], g["v"] = flat(own).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
-        dx = dk @ p["k"].T + dv @ p["v"].T
-        dx[:, BLOCK:] += dh + dq @ p["q"].T
-        g["pos"] = dx.sum(axis=0)
-        np.add.at(g["e"], ids.ravel(), flat(dx))
+        g["o"] = flat(mixed).T @ dh
+        dmixed = (dh @ p["o"].T).reshape(own.shape)
+        da = dmixed @ v.swapaxes(1, 2)
+        da -= (dmixed * mixed).sum(axis=-1, keepdims=True)
+        da *= a
+        dkv = np.concatenate([da.swapaxes(1, 2) @ q, a.swapaxes(1, 2) @ dmixed], axis=2)
+        dq = np.concatenate([dh.reshape(own.shape), da @ k], axis=2)
+        kv_id, kv_at = _sum_by(ids.ravel(), flat(dkv), EDGE + 1), dkv.sum(axis=0)
+        q_id, q_at = _sum_by(block.ravel(), flat(dq), EDGE + 1), dq.sum(axis=0)
+        sums_id = np.concatenate([q_id[:, w:], kv_id], axis=1)
+        sums_at = np.concatenate([np.concatenate([np.zeros_like(q_at[:, w:]), q_at[:, w:]]), kv_at], axis=1)
+        g["q"], g["k"], g["v"] = np.split(p["e"].T @ sums_id + p["pos"].T @ sums_at, 3, axis=1)
+        g["q"] = g["q"] * scale
+        g["e"], g["pos"] = sums_id @ qkv.T, sums_at @ qkv.T
+        g["e"] += q_id[:, :w]
+        g["pos"][BLOCK:] += q_at[:, :w]
         return g
 
+    def learn(self, texts: Iterator[list[np.ndarray]], share: list[float], rates: tuple[float, float], windows: int, seed: int,
+              squares: dict[str, np.ndarray] | None = None) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+        """Adam on every window of the parts of a chunk, once each; ``share`` is how much of the chunk lies up to each part's end.
+
+        Returns how many tokens moved the rows of each id and of each digit, and all; and the mean squares of gradients.
+        """
+        rng, adam, done = np.random.default_rng(seed), _Adam(self, squares), 0.0
+        moved = {"e": np.zeros(EDGE + 1), "d": np.zeros(BASE), "all": np.zeros(1)}
+        for sequences, upto in zip(texts, share):
+            blocks, targets, first = _blocks(sequences)
+            before, order = _before(blocks, first), rng.permutation(len(blocks))
+            for at in range(0, len(order), windows):
+                pick = order[at:at + windows]
+                now = done + (upto - done) * at / len(order)
+                adam.step((before[pick], blocks[pick], targets[pick], first[pick]), rates[0] + (rates[1] - rates[0]) * now)
+            real = targets[targets >= 0]
+            moved["e"] += np.bincount(blocks[targets >= 0], minlength=EDGE + 1)
+            moved["d"] += np.bincount(real // BASE, minlength=BASE)
+            moved["all"] += len(real)
+            done = upto
+        return moved, {n: x / (1 if adam.known else 1 - 0.99 ** adam.t) for n, x in adam.s.items()}
+
     def scorer(self) -> Scorer:
         return Scorer(self.p)
 
 
+class _Adam:
+    """``squares`` are mean squares of gradients that an earlier round has left."""
+
+    def __init__(self, model: AttentionModel, squares: dict[str, np.ndarray] | None = None):
+        self.model, self.t, self.known = model, 0, squares is not None
+        self.m = {n: np.zeros_like(x) for n, x in model.p.items()}
+        self.s = {n: x.copy() for n, x in squares.items()} if squares else {n: np.zeros_like(x) for n, x in model.p.items()}
+
+    def step(self, windows: tuple[np.ndarray, ...], rate: float) -> None:
+        self.t += 1
+        for n, g in self.model._gradients(*windows).items():
+            m = self.m[n] = 0.9 * self.m[n] + 0.1 * g
+            s = self.s[n] = 0.99 * self.s[n] + 0.01 * g * g
+            self.model.p[n] -= (rate * (m / (1 - 0.9 ** self.t)) / (np.sqrt(s if self.known else s / (1 - 0.99 ** self.t)) + 1e-8)).astype(np.float32)
+
+
 class Scorer:
     """Batched scoring; what depends on an id alone is looked up."""
 
@@ -214,14 +278,88 @@ def _blocks(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
     return ids.reshape(-1, BLOCK), targets.reshape(-1, BLOCK), first
 
 
-def fit_model(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", sample_docs: int = SAMPLE_DOCS, steps: int = STEPS) -> AttentionModel:
-    """Train on at most ``sample_docs`` training rows with a text, the first by hash; a bounded sample of whole texts."""
-    rows = docs.where(~held_out(F.col("doc_id"), 7, 2) & F.col(text).isNotNull())
-    key = F.xxhash64("doc_id", text)
-    chosen = [r[0] for r in rows.select(key.alias("key")).distinct().orderBy("key").limit(sample_docs).collect()]
-    picked = rows.where(key.isin(chosen)).select(key.alias("key"), text).dropDuplicates(["key"]).collect() if chosen else []
-    encode = encoder(ranks).encode_ordinary
-    return AttentionModel.fresh().train([np.array(encode(r[1]), dtype=np.int64) for r in sorted(picked)], steps)
+_PARTS = {"e": slice(0, EDGE + 1), "d": slice(EDGE + 1, EDGE + 1 + BASE), "all": slice(EDGE + 1 + BASE, EDGE + 2 + BASE)}
+
+
+def _weights(moved: np.ndarray, p: dict[str, np.ndarray]) -> np.ndarray:
+    """For each parameter, how many tokens moved it: those of its id, of its digit, or all."""
+    rows = {"e": "e", "d": "d", "wb": "d"}
+    return np.concatenate([np.broadcast_to(moved[_PARTS[rows.get(n, "all")]].reshape(-1, *[1] * (x.ndim - 1)), x.shape).ravel() for n, x in p.items()])
+
+
+def _flat(p: dict[str, np.ndarray]) -> np.ndarray:
+    return np.concatenate([x.ravel() for x in p.values()]).astype(np.float64)
+
+
+def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    parts = np.split(flat.astype(np.float32), np.cumsum([x.size for x in like.values()])[:-1])
+    return {n: x.reshape(like[n].shape) for n, x in zip(like, parts)}
+
+
+def _slabs(texts: pa.ChunkedArray, encode: Callable[[str], list[int]], size: int) -> tuple[Iterator[list[np.ndarray]], list[float]]:
+    """Texts as ids, some megabytes at a time, and how much of all lies up to the end of each part."""
+    length = np.cumsum(pc.add(pc.binary_length(texts), 1).to_numpy())
+    cut = np.unique(np.append(np.flatnonzero(np.diff(length // size)) + 1, len(length)))
+    parts = (texts.slice(a, b - a) for a, b in zip(np.append(0, cut), cut))
+    return ([np.array(encode(x), dtype=np.int64) for x in part.to_pylist()] for part in parts), [float(x) for x in length[cut - 1] / length[-1]]
+
+
+def _add_models(table: pa.Table) -> pa.Table:
+    """The sums of the models of some chunks, in order of the chunks."""
+    table = table.sort_by("chunk")
+    total = {c: sum(np.frombuffer(x, dtype=np.float64) for x in table[c].to_pylist()) for c in ("model", "squares", "tokens")}
+    return pa.table({"chunk": pa.array([table["chunk"][0].as_py() // _FAN], pa.int32()), **{
+        c: pa.array([x.tobytes()], pa.binary()) for c, x in total.items()}})
+
+
+def _learner(shared: Broadcast, rates: tuple[float, float], windows: int, turn: int) -> Callable[[tuple[pa.Scalar, ...], pa.Table], pa.Table]:
+    """What a chunk does in a round: its parameters, each times the tokens that moved it."""
+    def learn(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        known, p, squares = shared.value
+        own = AttentionModel({n: x.copy() for n, x in p.items()})
+        parts, share = _slabs(table.sort_by("key")["text"], encoder(known).encode_ordinary, _TEXT_AT_ONCE)
+        moved, squares = own.learn(parts, share, rates, windows, turn * 1_000_003 + key[0].as_py(), squares)
+        tokens = np.concatenate([moved[n] for n in _PARTS])
+        weights = _weights(tokens, p)
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), **{n: pa.array([x.tobytes()], pa.binary()) for n, x in (
+            ("model", _flat(own.p) * weights), ("squares", _flat(squares) * weights), ("tokens", tokens))}})
+    return learn
+
+
+def fit_model(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", rounds: int = ROUNDS, rows_per_chunk: int = TRAIN_ROWS,
+              windows: int = WINDOWS) -> AttentionModel:
+    """Train on every training row with a text, in a fixed number of rounds.
+
+    Rows are dealt into as many shares as there are rounds, or fewer if a share would be small; a round takes
+    the next share, so each row teaches in one round at least and as often as any other, give or take one round.  A chunk
+    of a share starts from the parameters of the round before and makes steps on all its own windows; its parameters are
+    averaged with those of the others, a row of a table by how many tokens moved it, so what is rare is not
+    thinned out by the chunks that lack it.  The driver holds one model; texts stay in their tasks.
+    """
+    spark, model, key = docs.sparkSession, AttentionModel.fresh(), F.xxhash64("doc_id", text)
+    rows = docs.where(~held_out(F.col("doc_id"), 7, 2) & F.col(text).isNotNull()).select(key.alias("key"), F.col(text).alias("text"))
+    many = rows.count()
+    shares = max(1, min(rounds, many // SHARE_ROWS))
+    chunks = max(1, -(-many // (shares * rows_per_chunk)))
+    dealt = F.pmod(F.xxhash64("key"), F.lit(shares * chunks)).cast("int")
+    squares = None
+    for turn in range(rounds if many else 0):
+        shared = spark.sparkContext.broadcast((ranks, model.p, squares))
+        rates = tuple(RATE * (1 - 0.9 * (turn + k) / rounds) for k in (0, 1))
+        own = rows.select(dealt.alias("dealt"), "key", "text").where(F.col("dealt") % shares == turn % shares)
+        own = own.select(F.floor(F.col("dealt") / shares).cast("int").alias("chunk"), "key", "text")
+        found = own.repartition(chunks, "chunk").groupBy("chunk").applyInArrow(_learner(shared, rates, windows, turn), _MODEL)
+        left = chunks
+        while left > 1:
+            found, left = found.groupBy(F.floor(F.col("chunk") / _FAN).alias("group")).applyInArrow(_add_models, _MODEL), -(-left // _FAN)
+        for r in found.collect():  # one row, or none if the share is empty
+            sums, sums_of_squares, tokens = (np.frombuffer(r[c], dtype=np.float64) for c in ("model", "squares", "tokens"))
+            weights = _weights(tokens, model.p)
+            mean = lambda x, old: _shaped(np.where(weights > 0, x / np.maximum(weights, 1), old), model.p)  # noqa: B023, E731
+            squares = mean(sums_of_squares, 0.0 if squares is None else _flat(squares))
+            model = AttentionModel(mean(sums, _flat(model.p)))
+        shared.unpersist()
+    return model
 
 
 def _word_counts(texts: pa.ChunkedArray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray]:
