@@ -17,7 +17,7 @@ def test_query(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in registry) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in registry) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op1_mix_sources", "op3_quality_rules", "op6_url_rules"])

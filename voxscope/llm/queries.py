@@ -16,6 +16,7 @@ from .simhash import near_duplicates
 from .substring_dedup import remove_repeats
 from .token_counts import count_tokens
 from .url_rules import judge_urls
+from .whitening import by_component, whiten
 
 registry = Registry()
 
@@ -70,3 +71,8 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     return score_texts(t.documents).select(
         "row.doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@registry.add("op11_whitening")
+def _(t: Tables) -> DataFrame:
+    return by_component(whiten(t.embeddings), "vec_id")
