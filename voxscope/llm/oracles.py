@@ -64,3 +64,20 @@ best AS (SELECT rid, first(r.host || r.path ORDER BY length(r.host || r.path) DE
  WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY rid)
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN ({_BLOCK}) AND NOT ({_EXCUSE}) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN best USING (rid)"""
+
+_TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+RANKED_SEARCH = f"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), {_TERM}) AS ws FROM documents),
+d AS (SELECT rid, doc_id, CAST(len(ws) AS BIGINT) AS n, ws FROM t WHERE len(ws) > 0),
+g AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM d),
+tf AS (SELECT rid, w, count(*) AS tf FROM (SELECT rid, unnest(ws) AS w FROM d) GROUP BY rid, w),
+wt AS (SELECT w, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+ FROM tf, g GROUP BY w, n_docs),
+b AS (SELECT row_number() OVER () AS no, item_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), {_TERM}) AS ws FROM benchmark),
+it AS (SELECT no, item_id, w, count(*) AS times FROM (SELECT no, item_id, unnest(ws) AS w FROM b) GROUP BY no, item_id, w),
+s AS (SELECT no, item_id, rid, doc_id,
+ CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // all_terms)))) AS BIGINT) AS score
+ FROM it JOIN tf USING (w) JOIN wt USING (w) JOIN d USING (rid), g GROUP BY no, item_id, rid, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY no ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20"""

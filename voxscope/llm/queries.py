@@ -10,8 +10,9 @@ from .decontaminate import find_leaks
 from .kneser_ney import classify_quality
 from .language_id import identify_languages
 from .mixing import mix_sources
-from .oracles import QUALITY_RULES, SUBSTRING_DEDUP, URL_RULES
+from .oracles import QUALITY_RULES, RANKED_SEARCH, SUBSTRING_DEDUP, URL_RULES
 from .quality_rules import quality_rules
+from .ranked_search import search
 from .simhash import near_duplicates
 from .substring_dedup import remove_repeats
 from .token_counts import count_tokens
@@ -76,3 +77,8 @@ def _(t: Tables) -> DataFrame:
 @registry.add("op11_whitening")
 def _(t: Tables) -> DataFrame:
     return by_component(whiten(t.embeddings), "vec_id")
+
+
+@registry.add("op13_ranked_search", RANKED_SEARCH)
+def _(t: Tables) -> DataFrame:
+    return search(t.documents, t.benchmark)
