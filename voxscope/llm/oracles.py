@@ -65,6 +65,18 @@ best AS (SELECT rid, first(r.host || r.path ORDER BY length(r.host || r.path) DE
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN ({_BLOCK}) AND NOT ({_EXCUSE}) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN best USING (rid)"""
 
+JACCARD_JOIN = f"""
+WITH RECURSIVE l AS (SELECT row_number() OVER () AS rid, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), {_WORD}) AS ws FROM documents),
+s AS (SELECT DISTINCT rid, array_to_string(list_slice(ws, i, i + 2), ' ') AS x
+ FROM (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM l WHERE len(ws) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+e AS (SELECT c.a, c.b FROM (SELECT p.rid AS a, q.rid AS b, count(*) AS c FROM s p JOIN s q USING (x) WHERE p.rid != q.rid GROUP BY p.rid, q.rid) c
+ JOIN n y ON y.rid = c.a JOIN n z ON z.rid = c.b WHERE 100 * c.c >= 90 * (y.n + z.n - c.c)),
+r(a, b) AS (SELECT rid, rid FROM l UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT l.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id FROM l LEFT JOIN n USING (rid)
+JOIN (SELECT r.a AS rid, min(o.doc_id) AS component_id FROM r JOIN l o ON o.rid = r.b GROUP BY r.a) m USING (rid)"""
+
 _TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
 
 RANKED_SEARCH = f"""

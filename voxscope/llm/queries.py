@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame
 from ..catalog.base import Registry, Tables
 from .attention_lm import score_texts
 from .decontaminate import find_leaks
+from .jaccard_join import similar_documents
 from .kneser_ney import classify_quality
 from .language_id import identify_languages
 from .mixing import mix_sources
-from .oracles import QUALITY_RULES, RANKED_SEARCH, SUBSTRING_DEDUP, URL_RULES
+from .oracles import JACCARD_JOIN, QUALITY_RULES, RANKED_SEARCH, SUBSTRING_DEDUP, URL_RULES
 from .quality_rules import quality_rules
 from .ranked_search import search
 from .simhash import near_duplicates
@@ -79,6 +80,11 @@ def _(t: Tables) -> DataFrame:
     return by_component(whiten(t.embeddings), "vec_id")
 
 
+@registry.add("op12_jaccard_join", JACCARD_JOIN)
+def _(t: Tables) -> DataFrame:
+    return similar_documents(t.documents)
+
+
 @registry.add("op13_ranked_search", RANKED_SEARCH)
 def _(t: Tables) -> DataFrame:
     return search(t.documents, t.benchmark)
