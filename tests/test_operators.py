@@ -370,9 +370,6 @@ def test_streams_over_several_batches(spark, tmp_path):
     def stream():
         return jobs.read_stream(spark, folder, df.schema, files_per_batch=1)
 
-    kept = jobs.stream_burst_filter(stream(), str(tmp_path / "burst"), 30, 20)()
-    assert rows_of(kept.select("comment_id")) == rows_of(
-        dedup.burst_spam_filter(df, 30, 20).select("comment_id"))
     path = str(tmp_path / "upsert")
     stored = jobs.stream_upsert(stream(), path, ["user_id"], ["comment_id"], update=["comment_id", "create_time"])()
     want = merge.upsert_partial(df.limit(0), df, ["user_id"], ["comment_id", "create_time"], ["comment_id"])

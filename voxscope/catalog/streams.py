@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import stage
 from ..streaming import jobs
 from .base import Registry
 
@@ -43,10 +44,32 @@ def _(t):
     return jobs.append_rows(unique, jobs.scratch(t.spark, "stream-dedup"))().select("user_id", "event_type")
 
 
+def _out_of_order(t, folder, files, late_seconds):
+    """Write the events as files that arrive one after the other, each row at most ``late_seconds`` after its time."""
+    arrival = F.unix_timestamp("ts") + F.pmod(F.xxhash64("event_id"), F.lit(late_seconds))
+    span = t.events.agg(F.min(arrival).alias("a"), F.max(arrival).alias("b")).first()
+    number = F.floor((arrival - span.a) * files / (span.b - span.a + 1))
+    rows = stage(t.events.withColumn("_no", number), "arrivals")
+    for k in range(files):
+        rows.where(F.col("_no") == k).drop("_no").repartition(1).write.mode("append").parquet(folder)
+
+
+# Events arrive up to two hours late, in six micro-batches; a heartbeat then releases the last ones in a second run.
 @add("stream_burst_filter", """SELECT event_id FROM (SELECT event_id, event_type, (epoch_us(ts) - lag(epoch_us(ts)) OVER
  (PARTITION BY user_id ORDER BY ts, event_id)) / 1e6 AS gap FROM events) AS g
  WHERE NOT coalesce(gap < 7200 AND length(event_type) < 6, false)""")
 def _(t):
-    rows = _events(t).select("event_id", "user_id", "ts", "event_type")
-    return jobs.stream_burst_filter(rows, jobs.scratch(t.spark, "stream-burst"), 7200, 6, ts="ts", text="event_type",
-                                    tie="event_id")().select("event_id")
+    path, schema = jobs.scratch(t.spark, "stream-burst"), t.events.schema
+    arrivals, beats = f"{path}/arrivals", f"{path}/beats"
+    _out_of_order(t, arrivals, 6, 7200)
+    t.events.limit(0).write.parquet(beats)
+
+    def filtered():
+        stream, beat = (jobs.read_stream(t.spark, folder, schema, files_per_batch=1) for folder in (arrivals, beats))
+        return jobs.stream_burst_filter(stream, path, 7200, 6, ts="ts", text="event_type", tie="event_id", late="2 hours",
+                                        bucket_seconds=86400, heartbeats=beat)
+
+    filtered()
+    t.events.agg((F.max("ts") + F.expr("INTERVAL 5 DAYS")).alias("ts")).select(*[
+        F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]).write.mode("append").parquet(beats)
+    return filtered()().select("event_id")

@@ -1,22 +1,20 @@
 """Streams: keyed upsert, daily trend, expiring dedup, burst filter.
 
 Every job takes a streaming frame and runs what is available, then stops; leave the trigger to
-``run`` to schedule it differently.  Per-batch jobs write versioned folders named after the batch, so a
-replayed batch overwrites its own output and nothing else.
+``run`` to schedule it differently.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor
 
-from ..operators.dedup import burst_spam_filter
 from ..session import stage_path
 from ..sources.sinks import read_if_exists, upsert_table
 
@@ -34,17 +32,6 @@ def run(writer: DataStreamWriter, checkpoint: str, **trigger) -> None:
     query.awaitTermination()
 
 
-def _version(path: str, batch_id: int) -> str:
-    return os.path.join(path, f"version={batch_id:012d}")
-
-
-def _previous(spark: SparkSession, path: str, batch_id: int, empty: T.StructType) -> DataFrame:
-    """The table as the batch before this one left it."""
-    if batch_id == 0:
-        return spark.createDataFrame([], empty)
-    return spark.read.schema(empty).parquet(_version(path, batch_id - 1))
-
-
 def stream_upsert(stream: DataFrame, path: str, keys: list[str], order: list[str],
                   update: list[str] | None = None) -> Callable[[], DataFrame]:
     """Merge each batch into a keyed table; call the result to read it.
@@ -100,32 +87,107 @@ def append_rows(result: DataFrame, path: str) -> Callable[[], DataFrame]:
     return lambda: result.sparkSession.read.schema(schema).parquet(path)
 
 
-def stream_burst_filter(stream: DataFrame, path: str, max_gap: float, max_length: int, user: str = "user_id",
-                        ts: str = "create_time", text: str = "content_clean", tie: str = "comment_id"
-                        ) -> Callable[[], DataFrame]:
-    """Drop bursts while rows arrive in time order; call the result to read the kept rows.
+_BEAT, _SPREAD = "_beat", 1024
+
 
-    The state is one row per user, the last time seen.  Each batch puts those rows in front of
-    its own and runs the batch operator, which splits active users by hour; no task gathers
-    all rows of a user.
+class _Bursts(StatefulProcessor):
+    """The rows of one user and stretch of time, until no more of them can come.
+
+    State is a list of (guest, short, row) and one timer at the end of the stretch.  The watermark reaches it when the stretch
+    is complete; then the rows are put in order, judged, and forgotten.  Rows without a stretch pass at once.
+    """
+
+    def __init__(self, row: T.StructType, ts: str, tie: str, max_gap: float):
+        self.names, self.max_gap = row.names, max_gap
+        self.ts, self.tie = row.names.index(ts), row.names.index(tie)
+        self.schema = T.StructType([T.StructField("guest", T.BooleanType()), T.StructField("short", T.BooleanType()), *row.fields])
+
+    def init(self, handle) -> None:
+        self.handle, self.rows = handle, handle.getListState("rows", self.schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if key[1] is None:
+            return (Row(**{n: r[n] for n in self.names}) for r in rows)
+        self.rows.appendList([(r["_guest"], r["_short"], *[r[n] for n in self.names]) for r in rows])
+        self.handle.registerTimer(int(key[1]))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        rows = sorted(self.rows.get(), key=lambda r: (r[2 + self.ts], r[2 + self.tie] is not None, r[2 + self.tie]))
+        self.rows.clear()
+        before = None
+        for guest, short, *row in rows:
+            at = row[self.ts]
+            soon = before is not None and (at - before).total_seconds() < self.max_gap
+            before = at
+            if not guest and not (short and soon):
+                yield Row(**dict(zip(self.names, row)))
+
+    def close(self) -> None:
+        pass
+
+
+def burst_filtered(stream: DataFrame, max_gap: float, max_length: int, user: str = "user_id", ts: str = "create_time",
+                   text: str = "content_clean", tie: str = "comment_id", late: str = "10 minutes",
+                   bucket_seconds: int = 600, heartbeats: DataFrame | None = None) -> DataFrame:
+    """The stream without bursts; rows may come in any order as long as none is more than ``late`` behind the newest.
+
+    A user's time is cut into stretches of ``bucket_seconds``, which are keys of their own: an active user is spread over
+    tasks, and state holds only what the watermark has not passed.  Rows at most ``max_gap`` before the end of a stretch visit
+    the next one as well, so its first rows see who came before.  A stretch comes out once it is complete.  Rows without a
+    user or a time follow nobody and pass at once; rows later than ``late`` are dropped and counted in the progress.
+
+    ``heartbeats``, a stream with a column ``ts``, moves the watermark on when no rows come; it is not part of the result.
     """
-    schema = stream.schema
-    state_schema = T.StructType([stream.schema[user], stream.schema[ts]])
-    state_path, kept_path = os.path.join(path, "state"), os.path.join(path, "kept")
+    if bucket_seconds < max_gap:
+        raise ValueError("a stretch must be at least as long as the gap")
+    rows = stream.withColumn(_BEAT, F.lit(False))
+    if heartbeats is not None:
+        rows = rows.unionByName(heartbeats.select(ts).where(F.col(ts).isNotNull()).withColumn(_BEAT, F.lit(True)), allowMissingColumns=True)
+    timed = rows.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", late)
+    # Naming the time keeps this filter above the watermark, which has to see the heartbeats.
+    timed = timed.where(~F.col(_BEAT) | F.col("_at").isNull())
+    micros, width = F.unix_micros("_at"), F.lit(int(bucket_seconds * 1_000_000))
+    ends = (F.floor(micros / width).cast("bigint") + 1) * width
+    own = F.struct(F.lit(False).alias("guest"), F.when(F.col(user).isNotNull(), ends).alias("end"))
+    visit = F.struct(F.lit(True).alias("guest"), (ends + width).alias("end"))
+    visits = F.col(user).isNotNull() & (micros >= ends - F.lit(int(max_gap * 1_000_000)))
+    stays = timed.withColumns({"_short": F.coalesce(F.length(text) < max_length, F.lit(False)),
+                               "_stay": F.explode(F.when(visits, F.array(own, visit)).otherwise(F.array(own)))})
+    # A visitor leaves all but its place in the order at home.  Rows without a user are spread by their time and tie.
+    slim = [F.when(~F.col("_stay.guest") | F.lit(c in (user, ts, tie)), F.col(f"`{c}`")).alias(c) for c in stream.columns]
+    spread = F.when(F.col("_stay.end").isNull(), F.pmod(F.xxhash64(tie, ts), F.lit(_SPREAD)))
+    keyed = stays.select(*slim, "_at", "_short", F.col("_stay.guest").alias("_guest"), F.col(user).alias("_user"),
+                         F.ceil(F.col("_stay.end") / 1000).alias("_end"), spread.alias("_part"))
+    row = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema.fields])
+    return keyed.groupBy("_user", "_end", "_part").transformWithState(_Bursts(row, ts, tie, max_gap), row, "Append", "EventTime")
 
-    def filter_batch(batch: DataFrame, batch_id: int) -> None:
-        before = _previous(batch.sparkSession, state_path, batch_id, state_schema)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        rows = batch.withColumn("_old", F.lit(False)).unionByName(
-            before.withColumn("_old", F.lit(True)), allowMissingColumns=True)
-        kept = burst_spam_filter(rows, max_gap, max_length, user, ts, text, tie)
-        kept.filter("NOT _old").drop("_old").write.mode("overwrite").parquet(_version(kept_path, batch_id))
-        (batch.select(user, ts).unionByName(before).groupBy(user).agg(F.max(ts).alias(ts))
-         .write.mode("overwrite").parquet(_version(state_path, batch_id)))
-        batch.unpersist()
 
-    run(stream.writeStream.foreachBatch(filter_batch), os.path.join(path, "_checkpoint"))
-    return lambda: stream.sparkSession.read.schema(schema).parquet(os.path.join(kept_path, "version=*"))
+def stream_burst_filter(stream: DataFrame, path: str, max_gap: float, max_length: int, user: str = "user_id",
+                        ts: str = "create_time", text: str = "content_clean", tie: str = "comment_id", late: str = "10 minutes",
+                        bucket_seconds: int = 600, heartbeats: DataFrame | None = None) -> Callable[[], DataFrame]:
+    """Run :func:`burst_filtered` over what is there and append the kept rows; call the result to read them.
+
+    Run it again with the same ``path`` to go on.  What the watermark has not released waits in the state.
+    """
+    kept = burst_filtered(stream, max_gap, max_length, user, ts, text, tie, late, bucket_seconds, heartbeats)
+    with rocksdb_state(stream.sparkSession):
+        return append_rows(kept, os.path.join(path, "kept"))
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, which timers and list state need."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -133,5 +195,5 @@ def scratch(spark: SparkSession, name: str) -> str:
     return stage_path(spark, name)
 
 
-__all__ = ["append_rows", "collect_updates", "read_stream", "run", "scratch",
+__all__ = ["append_rows", "burst_filtered", "collect_updates", "read_stream", "rocksdb_state", "run", "scratch",
            "stream_burst_filter", "stream_daily_trend", "stream_expiring_dedup", "stream_upsert"]
