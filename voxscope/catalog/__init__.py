@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import aggregate, io, joining, mining, nested, ranking, scalar, streams, text
+from . import aggregate, io, joining, mining, nested, patterns, ranking, scalar, streams, text
 from .base import Entry
 
-MODULES = (text, scalar, aggregate, ranking, joining, nested, io, mining, streams)
+MODULES = (text, scalar, aggregate, ranking, joining, nested, io, mining, patterns, streams)
 
 
 def entries() -> dict[str, Entry]:
