@@ -92,13 +92,6 @@ def _(t):
     return _topics(t, 2000, 2.0, points=True).rows
 
 
-@add("kmeans_share", "SELECT count(*) AS documents, 100e0 AS percent FROM (SELECT 1 FROM documents WHERE len("
-     + FILTERED_SQL.format("text") + ") > 0) AS d")
-def _(t):
-    shares = aggregates.cluster_share(_topics(t).rows)
-    return shares.agg(F.sum("count").alias("documents"), F.round(F.sum("percent"), 0).alias("percent"))
-
-
 def _embedding_features(t):
     from pyspark.ml.functions import array_to_vector
     return mining.repeatable(t.embeddings.select(
@@ -131,9 +124,9 @@ def _(t):
     return mining.lloyd(rows, "vec_id", "f", 4, 5)
 
 
-@add("pca_points", """SELECT count(*) AS n, 0e0 AS mean_product FROM embeddings""")
+@add("pca_products", """SELECT count(*) AS n, 0e0 AS mean_product FROM embeddings""")
 def _(t):
-    # Projections are uncorrelated whatever their signs: the centred products cancel out.
+    # Projections by the library's fit are uncorrelated whatever their signs: the centred products cancel out.
     points = mining.pca_points(_embedding_features(t))
     return points.agg(F.count("*").alias("n"), F.abs(F.round(F.covar_pop("x", "y"), 6)).alias("mean_product"))
 

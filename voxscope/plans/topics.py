@@ -12,7 +12,7 @@ from ..functions import fixed_values as fv
 from ..functions import numbers
 from ..functions.sentiment import sentiment_net
 from ..functions.tokens import drop_stop_words, tokenize
-from ..operators import aggregates, filters, mining
+from ..operators import aggregates, clusters, filters, mining
 from ..session import stage
 
 
@@ -59,6 +59,30 @@ def topic_clusters(df: DataFrame, key: str, text: str = "content", k: int = 4, s
     return Topics(rows.select(columns), vocabulary.vocabulary, keywords)
 
 
+def weighted_terms(df: DataFrame, key: str, text: str = "content", size: int = 1000, min_df: int = 5, stop_words=None) -> DataFrame:
+    """(doc, norm, terms): the TF-IDF rows of texts as :func:`~voxscope.operators.clusters.sparse_rows`.
+
+    The vocabulary is the ``size`` most frequent terms of at least ``min_df`` texts; a text without any of them has no terms.
+    """
+    words = stage(tokenized(filters.drop_missing(df, [text]).select(key, text), text, stop_words).select(key, "words"), "topic-words")
+    counts = stage(mining.term_counts(words, key, vocab=mining.vocabulary(words, size=size, min_df=min_df)), "topic-counts")
+    return clusters.sparse_rows(mining.tfidf(counts, key, words.count()), words, key)
+
+
+def sparse_topics(df: DataFrame, key: str, text: str = "content", k: int = 4, rounds: int = 10, size: int = 1000,
+                  min_df: int = 5, stop_words=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(key, cluster_id, x, y), the ten heaviest terms per cluster, and the share of each cluster.
+
+    The same steps as :func:`topic_clusters` without vectors as wide as the vocabulary, for vocabularies of any size.
+    """
+    rows = weighted_terms(df, key, text, size, min_df, stop_words)
+    assigned, centres = clusters.sparse_kmeans(rows, k, rounds)
+    assigned = stage(assigned, "topic-assigned")
+    points = clusters.project(rows, clusters.principal_axes(rows))
+    return (assigned.join(points, "doc").withColumnRenamed("doc", key), clusters.heaviest_terms(centres),
+            aggregates.cluster_share(assigned))
+
+
 def keyword_table(keywords: DataFrame, n: int = 10) -> DataFrame:
     """One row per cluster with columns w1 ... wn."""
     return (keywords.groupBy("cluster_id").pivot("position", list(range(1, n + 1))).agg(F.first("term"))
