@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import links, numbers, text, times
 from ..functions.nested import flatten_payload
-from ..operators.merge import union_by_name
-from ..session import stage_path
 
 COMMENT_FIELDS = {
     "xhs": {
@@ -102,6 +100,11 @@ CONTENT_FIELDS = {
         "liked_count": ("mblog.attitudes_count", "0"), "comment_count": ("mblog.comments_count", "0"),
         "share_count": ("mblog.reposts_count", "0"), "ip_location": ("mblog.region_name", ""),
     },
+    "tieba": {
+        "content_id": ("note_id", None), "title": ("title", ""), "description": ("desc", ""),
+        "create_time": ("publish_time", None), "user_id": ("user_link", None), "nickname": ("user_nickname", None),
+        "avatar": ("user_avatar", ""), "comment_count": ("total_replay_num", "0"), "ip_location": ("ip_location", ""),
+    },
 }
 
 CANONICAL_CONTENT = ["platform", "content_id", "kind", "title", "description", "create_time", "user_id", "nickname",
@@ -119,74 +122,113 @@ def _time(platform: str, value: Column) -> Column:
     return times.epoch_autounit(value.try_cast("bigint"))
 
 
-def _first_url(value: Column) -> Column:
-    return F.get(F.from_json(value, "array<string>"), F.lit(0))
+def _leaf(payload: Column, path: str, kind: str = "string") -> Column:
+    """A value of a parsed payload; null if it is missing or does not fit."""
+    return F.try_variant_get(payload, f"$.{path}", kind)
+
+
+def _merged(payload: Column, platform: Column, fields: dict[str, dict], name: str) -> Column:
+    """A field of every platform at its own place: one CASE, null where a platform has no such field."""
+    places: dict[tuple, list[str]] = {}
+    for owner, own in fields.items():
+        if name in own:
+            places.setdefault(own[name], []).append(owner)
+    out = F
+    for (path, default), owners in places.items():
+        value = _leaf(payload, path)
+        out = out.when(platform.isin(*owners), value if default is None else F.coalesce(value, F.lit(default)))
+    return out if places else F.lit(None).cast("string")
+
+
+def _raw(payload: Column, platform: Column, fields: dict[str, dict]) -> dict[str, Column]:
+    return {name: _merged(payload, platform, fields, name) for name in dict.fromkeys(n for own in fields.values() for n in own)}
+
+
+def _flat(rows: DataFrame, fields: dict[str, dict]) -> DataFrame:
+    """(platform, v, one text column per field): each payload is parsed once."""
+    parsed = rows.select("platform", F.try_parse_json("payload").alias("v"))
+    return parsed.select("platform", "v", *[x.alias(n) for n, x in _raw(F.col("v"), F.col("platform"), fields).items()])
+
+
+def _kept(flat: DataFrame, keep: Column, columns: dict[str, Column], order: list[str]) -> DataFrame:
+    """The columns of the rows to keep.  A filter would be pushed below the parsing and repeat it; a list is not."""
+    row = F.struct(*[columns.get(name, F.col(name)).alias(name) for name in order])
+    return flat.select(F.inline_outer(F.when(keep, F.array(row)))).where("platform IS NOT NULL")
+
+
+def _times(platform: Column, value: Column) -> Column:
+    """Creation time of each platform as UTC wall time."""
+    return F.when(platform == "weibo", _time("weibo", value)).when(platform == "tieba", _time("tieba", value)).otherwise(_time("", value))
+
+
+def _comments(rows: DataFrame) -> DataFrame:
+    """Canonical comments of (platform, payload) rows, in one pass over them."""
+    c, p, v = F.col, F.col("platform"), F.col("v")
+    flat = _flat(rows, COMMENT_FIELDS)
+    # What a forum page keeps in an escaped attribute and in the tail of a post.
+    body = F.when(p == "tieba", F.try_parse_json(H.unescape_json(c("data_field"))))
+    flat = flat.withColumns({"body": body, **{f"tail_{k}": F.when(p == "tieba", x) for k, x in H.html_fields(c("tail"), H.FORUM_FIELDS).items()}})
+    xhs = F.transform(_leaf(v, "pictures", "array<struct<url_default:string>>"), lambda x: F.coalesce(x["url_default"], F.lit("")))
+    images = _leaf(v, "image_list", "array<struct<origin_url:struct<url_list:array<string>>>>")
+    douyin = F.transform(F.filter(images, lambda i: F.size(i["origin_url"]["url_list"]) > 1), lambda i: i["origin_url"]["url_list"][1])
+    urls = F.when(p == "xhs", xhs).when(p == "douyin", douyin)
+    tags = F.filter(_leaf(v, "comment_tag", "array<struct<type:string,text:string>>"), lambda t: t["type"] == "ip_info")
+    own = F.coalesce(c("user_id"), F.lit("")) != ""
+    member = (p == "zhihu") & ~own
+    words = F.when(p == "tieba", _leaf(c("body"), "content.content")).otherwise(c("content"))
+    key = F.when(p == "tieba", _leaf(c("body"), "content.post_id")).otherwise(c("comment_id"))
+    keep = F.when(p == "zhihu", c("type") == "comment").when(p == "tieba", key.isNotNull()).otherwise(True)
+    return _kept(flat, keep, {
+        "comment_id": key,
+        "create_time": _times(p, F.when(p == "tieba", c("tail_publish_time")).otherwise(c("create_time"))),
+        "ip_location": F.when(p == "weibo", text.strip_labels(c("ip_location"), ["来自"])).when(
+            p == "zhihu", F.coalesce(F.try_element_at(tags, F.lit(1))["text"], F.lit(""))).when(
+            p == "tieba", c("tail_ip_location")).otherwise(c("ip_location")),
+        "content": F.when(p == "weibo", text.strip_html_tags(words)).when(
+            p.isin("zhihu", "tieba"), text.extract_text_from_html(words)).otherwise(words),
+        "user_id": F.when(member, c("member_id")).otherwise(c("user_id")),
+        "nickname": F.when(member, c("member_name")).otherwise(c("nickname")),
+        "avatar": F.when(p == "douyin", F.coalesce(F.get(_leaf(v, "user.avatar_thumb.url_list", "array<string>"), F.lit(0)), F.lit(""))).when(
+            member, c("member_avatar")).otherwise(c("avatar")),
+        "sub_comment_count": text.extract_first_int(F.when(p == "tieba", _leaf(c("body"), "content.comment_num")).otherwise(c("sub_comment_count"))),
+        "pictures": F.when(p.isin("xhs", "douyin"), F.coalesce(F.array_join(urls, ","), F.lit(""))),
+        "like_count": F.when(p.isin("kuaishou", "tieba"), F.lit(0).cast("bigint")).otherwise(text.extract_first_int(c("like_count"))),
+    }, CANONICAL_COMMENT)
 
 
 def comments_of(platform: str, df: DataFrame, payload: str = "payload") -> DataFrame:
     """Canonical comments of one platform's comment payloads (JSON text)."""
-    flat = flatten_payload(df.select(payload), payload, COMMENT_FIELDS[platform])
-    c = F.col
-    if platform == "xhs":
-        urls = F.transform(F.from_json("pictures", "array<struct<url_default:string>>"),
-                           lambda p: F.coalesce(p["url_default"], F.lit("")))
-        flat = flat.withColumn("pictures", F.coalesce(F.array_join(urls, ","), F.lit("")))
-    elif platform == "douyin":
-        images = F.from_json("image_list" if "image_list" in flat.columns else "pictures",
-                             "array<struct<origin_url:struct<url_list:array<string>>>>")
-        urls = F.transform(F.filter(images, lambda i: F.size(i["origin_url"]["url_list"]) > 1),
-                           lambda i: i["origin_url"]["url_list"][1])
-        flat = flat.withColumns({"pictures": F.coalesce(F.array_join(urls, ","), F.lit("")),
-                                 "avatar": F.coalesce(_first_url(c("avatar")), F.lit(""))})
-    elif platform == "weibo":
-        flat = flat.withColumns({"content": text.strip_html_tags(c("content")),
-                                 "ip_location": text.strip_labels(c("ip_location"), ["来自"])})
-    elif platform == "zhihu":
-        own = F.coalesce(c("user_id"), F.lit("")) != ""
-        tags = F.from_json("ip_location", "array<struct<type:string,text:string>>")
-        place = F.try_element_at(F.filter(tags, lambda t: t["type"] == "ip_info"), F.lit(1))["text"]
-        flat = flat.filter(c("type") == "comment").withColumns({
-            "content": text.extract_text_from_html(c("content")), "ip_location": F.coalesce(place, F.lit("")),
-            "nickname": F.when(own, c("nickname")).otherwise(c("member_name")),
-            "avatar": F.when(own, c("avatar")).otherwise(c("member_avatar")),
-            "user_id": F.when(own, c("user_id")).otherwise(c("member_id"))})
-    elif platform == "tieba":
-        body = F.from_json(H.unescape_json(c("data_field")),
-                           "content struct<post_id:string,comment_num:string,content:string>")["content"]
-        tail = H.html_fields(c("tail"), H.FORUM_FIELDS)
-        flat = flat.withColumns({
-            "comment_id": body["post_id"], "sub_comment_count": body["comment_num"],
-            "content": text.extract_text_from_html(body["content"]), "ip_location": tail["ip_location"],
-            "create_time": tail["publish_time"]}).filter(c("comment_id").isNotNull())
-    flat = flat.withColumns({
-        "platform": F.lit(platform), "create_time": _time(platform, c("create_time")),
-        "sub_comment_count": text.extract_first_int(c("sub_comment_count")),
-        "like_count": text.extract_first_int(c("like_count")) if "like_count" in flat.columns
-        else F.lit(0).cast("bigint")})
-    return _canonical(flat, CANONICAL_COMMENT)
+    return _comments(df.select(F.lit(platform).alias("platform"), F.col(payload).alias("payload")))
+
+
+def _contents(rows: DataFrame) -> DataFrame:
+    """Canonical posts of (platform, payload) rows, in one pass over them."""
+    c, p = F.col, F.col("platform")
+    flat = _flat(rows, CONTENT_FIELDS)
+    title = F.when(p == "xhs", F.coalesce(F.nullif("title", F.lit("")), c("description"))).when(
+        p == "weibo", text.strip_html_tags(c("title"))).otherwise(c("title"))
+    for limit in set(TITLE_LIMIT.values()):
+        title = F.when(p.isin(*[k for k, n in TITLE_LIMIT.items() if n == limit]), text.truncate(title, limit)).otherwise(title)
+    return _kept(flat, F.coalesce("content_id", F.lit("")) != "", {
+        "kind": F.when(p == "bilibili", "video").otherwise(c("kind")),
+        "title": title,
+        "description": F.when(p == "weibo", text.strip_html_tags(c("description"))).otherwise(c("description")),
+        "create_time": _times(p, c("create_time")),
+        "avatar": F.when(p == "douyin", F.coalesce(F.get(_leaf(c("v"), "author.avatar_thumb.url_list", "array<string>"), F.lit(0)), F.lit(""))).otherwise(c("avatar")),
+        "ip_location": F.when(p == "weibo", text.strip_labels(c("ip_location"), ["发布于 "])).otherwise(c("ip_location")),
+        "content_url": links.build_link(p, c("content_id"), c("token")),
+    }, CANONICAL_CONTENT)
 
 
 def contents_of(platform: str, df: DataFrame, payload: str = "payload") -> DataFrame:
     """Canonical posts of one platform's content payloads (JSON text)."""
-    flat = flatten_payload(df.select(payload), payload, CONTENT_FIELDS[platform])
-    c = F.col
-    if platform == "xhs":
-        flat = flat.withColumn("title", F.coalesce(F.nullif("title", F.lit("")), c("description")))
-    elif platform == "douyin":
-        flat = flat.withColumn("avatar", F.coalesce(_first_url(c("avatar")), F.lit("")))
-    elif platform == "bilibili":
-        flat = flat.withColumn("kind", F.lit("video"))
-    elif platform == "weibo":
-        flat = flat.withColumns({"title": text.strip_html_tags(c("title")),
-                                 "description": text.strip_html_tags(c("description")),
-                                 "ip_location": text.strip_labels(c("ip_location"), ["发布于 "])})
-    if platform in TITLE_LIMIT:
-        flat = flat.withColumn("title", text.truncate(c("title"), TITLE_LIMIT[platform]))
-    flat = flat.filter(F.coalesce("content_id", F.lit("")) != "").withColumns({
-        "platform": F.lit(platform), "create_time": _time(platform, c("create_time")),
-        "content_url": links.build_link(F.lit(platform), c("content_id"),
-                                        c("token") if "token" in flat.columns else None)})
-    return _canonical(flat, CANONICAL_CONTENT)
+    return _contents(df.select(F.lit(platform).alias("platform"), F.col(payload).alias("payload")))
+
+
+def union_contents(payloads: DataFrame, platform: str = "platform", payload: str = "payload") -> DataFrame:
+    """Canonical posts of a table of (platform, payload) rows; names are read without case and outer blanks."""
+    named = payloads.select(_platform_name(platform).alias("platform"), F.col(payload).alias("payload"))
+    return _contents(named.filter(F.col("platform").isin(*CONTENT_FIELDS)))
 
 
 ZHIHU_TYPES = ("answer", "article", "zvideo")
@@ -273,16 +315,10 @@ def _canonical(df: DataFrame, columns: list[str]) -> DataFrame:
 def union_platforms(payloads: DataFrame, platform: str = "platform", payload: str = "payload") -> DataFrame:
     """Canonical comments of a table of (platform, payload) rows; names are read without case and outer blanks.
 
-    Rows of other platforms are not in the result: see :func:`unknown_platforms`.
+    The table is read once.  Rows of other platforms are not in the result: see :func:`unknown_platforms`.
     """
-    spark = payloads.sparkSession
-    # Read once and stored by platform; each mapping then reads its own part only.
-    path = stage_path(spark, "payloads")
     named = payloads.select(_platform_name(platform).alias("platform"), F.col(payload).alias("payload"))
-    named.filter(F.col("platform").isin(*COMMENT_FIELDS)).hint("rebalance", "platform").write.partitionBy("platform").parquet(path)
-    stored = spark.read.schema(named.schema).parquet(path)
-    return union_by_name(*[comments_of(name, stored.filter(F.col("platform") == name), "payload")
-                           for name in COMMENT_FIELDS])
+    return _comments(named.filter(F.col("platform").isin(*COMMENT_FIELDS)))
 
 
 def unknown_platforms(payloads: DataFrame, platform: str = "platform") -> DataFrame:
