@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import aggregate, clusters, io, joining, mining, nested, patterns, ranking, scalar, streams, text
+from . import aggregate, clusters, io, joining, mining, nested, pages, patterns, ranking, scalar, streams, text
 from .base import Entry
 
-MODULES = (text, scalar, aggregate, ranking, joining, nested, io, mining, clusters, patterns, streams)
+MODULES = (text, scalar, aggregate, ranking, joining, nested, pages, io, mining, clusters, patterns, streams)
 
 
 def entries() -> dict[str, Entry]:

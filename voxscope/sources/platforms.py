@@ -234,15 +234,25 @@ def union_contents(payloads: DataFrame, platform: str = "platform", payload: str
 ZHIHU_TYPES = ("answer", "article", "zvideo")
 
 
-def zhihu_contents(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Answers, articles and videos, which keep their fields in different places; others are skipped."""
+def zhihu_contents(df: DataFrame, payload: str = "payload", kind: str | None = None, author: str | None = None) -> DataFrame:
+    """Answers, articles and videos, which keep their fields in different places; others are skipped.
+
+    ``kind`` says what all payloads are, whatever their type field holds.  ``author`` names a column with the author's JSON,
+    for payloads that only name the author.
+    """
     fields = {name: (name, None) for name in (
         "id", "type", "title", "content", "description", "excerpt", "created_time", "created", "created_at",
         "published_at", "updated_time", "updated", "updated_at", "voteup_count", "comment_count", "video_url",
         "video")}
     fields.update({"question_id": ("question.id", None), "user_id": ("author.id", None),
                    "nickname": ("author.name", None)})
-    flat = flatten_payload(df.select(payload), payload, fields).filter(F.col("type").isin(*ZHIHU_TYPES))
+    flat = flatten_payload(df.select(payload, *[author] if author else []), payload, fields)
+    if kind:
+        flat = flat.withColumn("type", F.lit(kind))
+    if author:
+        flat = flat.withColumns({"user_id": F.coalesce("user_id", F.get_json_object(author, "$.id")),
+                                 "nickname": F.coalesce("nickname", F.get_json_object(author, "$.name"))})
+    flat = flat.filter(F.col("type").isin(*ZHIHU_TYPES))
     c, kind = F.col, F.col("type")
     own_page = c("video").startswith("{")
     base = F.lit("https://www.zhihu.com")
