@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .splits import csv_records
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
@@ -31,6 +34,24 @@ def read_csv_safe(spark: SparkSession, path: str, columns: list[str] | None = No
         return None
 
 
+def read_csv_split(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame | None:
+    """The rows of :func:`read_csv_safe`, a large file read by many tasks; None when there is no file at ``path``.
+
+    Columns come from the header unless given; every file has one.  ``_corrupt_record`` holds the whole record where it does not
+    have as many fields as there are columns.
+    """
+    try:
+        names = columns or spark.read.options(**CSV_OPTIONS).csv(path).columns
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return None
+    schema = ", ".join(f"`{c}` string" for c in [*names, "_corrupt_record"])
+    records = csv_records(spark, path).where("record > 0 AND text <> ''")
+    options = {k: v for k, v in CSV_OPTIONS.items() if k in ("quote", "escape")} | {"mode": "PERMISSIVE"}
+    return records.select(F.from_csv("text", F.lit(schema), options).alias("r")).select("r.*")
+
+
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Header and inferred types, one line per row.
 

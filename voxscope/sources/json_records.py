@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage
+from .splits import json_elements
 
 # A wrapping object is searched for these keys in this order; the first one present decides.
 WRAPPERS = ("data", "comments", "items")
@@ -82,14 +83,19 @@ def read_json_records(spark: SparkSession, path: str, record: T.StructType | str
 
 def read_json_arrays(spark: SparkSession, path: str | list[str], record: T.StructType | str,
                      glob: str = "*.json") -> tuple[DataFrame, DataFrame]:
-    """(records, quarantine) of files that hold one JSON array each; records are streamed out of the file.
+    """(records, quarantine) of files that hold one JSON array of objects each; a large file is read by many tasks.
 
-    A file that breaks off is one row of the quarantine, with its name and its whole text; none of it is a record.
+    The quarantine has (file, payload): a record that is no object, or of which a value does not fit its type, with its own
+    text; a file that is no whole array with null, none of it is a record.
     """
     kind = T.StructType.fromDDL(record) if isinstance(record, str) else record
-    rows = (spark.read.schema(T.StructType([*kind.fields, T.StructField("_corrupt_record", T.StringType())]))
-            .option("multiLine", True).option("pathGlobFilter", glob).option("mode", "PERMISSIVE").json(path)
-            .withColumn("file", F.col("_metadata.file_path")))
-    stored = stage(rows, "json-arrays")
-    broken = stored.filter("_corrupt_record IS NOT NULL").select("file", F.col("_corrupt_record").alias("payload")).distinct()
-    return stored.join(broken.select("file"), "file", "left_anti").select(kind.fieldNames()), broken
+    elements, broken = json_elements(spark, path, glob)
+    parsed = elements.withColumn("_r", F.when(F.json_object_keys("text").isNotNull(), F.from_json("text", _as_texts(kind))))
+    values = F.struct(*[_typed(F.col(f"_r.`{f.name}`"), f.dataType).alias(f.name) for f in kind.fields])
+    lost = F.col("_r").isNull()
+    for f in kind.fields:
+        lost = lost | (F.col(f"_r.`{f.name}`").isNotNull() & F.col(f"_v.`{f.name}`").isNull())
+    stored = stage(parsed.withColumn("_v", values).withColumn("_lost", lost), "json-arrays")
+    quarantine = stored.filter("_lost").select("file", F.col("text").alias("payload")).unionByName(
+        broken.select("file", F.lit(None).cast("string").alias("payload")))
+    return stored.filter("NOT _lost").select("_v.*"), quarantine
