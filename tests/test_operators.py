@@ -174,7 +174,7 @@ def test_broken_array_files_are_set_aside(spark, tmp_path):
     records, quarantine = json_records.read_json_arrays(spark, str(tmp_path), "id bigint")
     assert sorted(r.id for r in records.collect()) == [1, 2]
     (broken,) = quarantine.collect()
-    assert broken.file.endswith("cut.json") and '"id": 4' in broken.payload
+    assert broken.file.endswith("cut.json") and broken.payload is None
 
 
 def test_values_of_another_type_are_set_aside(spark):
@@ -223,7 +223,7 @@ def test_documents_keep_fields_that_a_batch_lacks(spark, tmp_path):
     path, write = str(tmp_path / "d"), sinks.create_sink("mongodb")
     write(spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "id int, name string, n int"), path, keys=["id"], order=["n"])
     write(spark.createDataFrame([(1, 7), (3, 8)], "id int, n int"), path, keys=["id"], order=["n"])
-    got = {r.id: (r.name, r.n) for r in spark.read.parquet(path).collect()}
+    got = {r.id: (r.name, r.n) for r in sinks.read_keyed(spark, path).collect()}
     assert got == {1: ("a", 7), 2: ("b", 6), 3: (None, 8)}
 
 

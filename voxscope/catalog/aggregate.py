@@ -366,6 +366,20 @@ def _(t):
                                             ("q1", "median", "q3", "whisker_low", "whisker_high")])
 
 
+# Real-valued scores, one per row: no two need be equal.
+@add("boxplot_real_scores", with_comments(""", v AS (SELECT CASE WHEN n <= 20 THEN '短评 (<20字)'
+ WHEN n <= 60 THEN '中评 (20-60字)' ELSE '长评 (>60字)' END AS len_group, x FROM (SELECT 1 + comment_id % 200 AS n,
+ ln(2 + (comment_id * 7919) % 10007) * sqrt(1 + comment_id) AS x FROM comments) AS s),
+ b AS (SELECT len_group, count(*) AS n, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3 FROM v GROUP BY 1)
+ SELECT len_group, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(least(min(x) FILTER (WHERE x >= q1 - (q3 - q1) * 1.5), q1), 6)
+ AS whisker_low, round(greatest(max(x) FILTER (WHERE x <= q3 + (q3 - q1) * 1.5), q3), 6) AS whisker_high FROM v JOIN b USING (len_group)
+ GROUP BY len_group, n, b.q1, b.median, b.q3"""))
+def _(t):
+    rows = t.comments.select((1 + F.col("comment_id") % 200).alias("n"), F.expr("ln(2 + (comment_id * 7919) % 10007) * sqrt(1 + comment_id)").alias("x"))
+    stats = aggregates.boxplot_stats(rows, "n", "x")
+    return stats.select("len_group", "n", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")])
+
+
 _BUCKET = "(CAST(('0x' || substr(md5({salt} || CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT) % 100)"
 
 

@@ -32,11 +32,11 @@ WITH keyed AS (
  FROM {{events}}),
 base AS (
  SELECT e.event_id, e.ts, e.user_id, e.target_id, e.event_type, e.value, e.props, d.doc_id, d.lang, d.source,
-  concat(d.text, CASE e.event_type WHEN 'purchase' THEN ' 喜欢 推荐 不错' WHEN 'error' THEN ' 垃圾 失望 贵'
+  concat(coalesce(d.text, ''), CASE e.event_type WHEN 'purchase' THEN ' 喜欢 推荐 不错' WHEN 'error' THEN ' 垃圾 失望 贵'
    WHEN 'click' THEN ' 好' WHEN 'signup' THEN ' 焦虑 支持 难' ELSE '' END) AS body,
   CASE c.c_nationkey {_PLACE_CASE} END AS place
  FROM keyed e
- JOIN {{documents}} d ON d.doc_id = e.doc_key
+ LEFT JOIN {{documents}} d ON d.doc_id = e.doc_key
  LEFT JOIN {{customer}} c ON c.c_custkey = e.user_id),
 comments AS (
  SELECT event_id AS comment_id, ts AS create_time, doc_id AS note_id, user_id,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tokens import tokenize
@@ -31,6 +34,24 @@ def _(t):
     return _as_text(csv_safe.read_csv_safe(t.spark, path))
 
 
+@add("read_csv_split", with_comments(f"SELECT c.*, false AS corrupt FROM ({_COMMENT_SQL}) AS c"))
+def _(t):
+    path = stage_path(t.spark, "csv-split")
+    t.comments.select(_COMMENT).repartition(2).write.options(**sinks._CSV_WRITE).csv(path)
+    rows = csv_safe.read_csv_split(t.spark, path)
+    return rows.select("comment_id", "note_id", "nickname", F.md5("content").alias("content_md5"), F.col("_corrupt_record").isNotNull().alias("corrupt"))
+
+
+@add("read_csv_inferred", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+def _(t):
+    path = stage_path(t.spark, "csv-inferred")
+    columns = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
+    t.customer.select(columns).write.option("header", "true").csv(path)
+    found = csv_safe.read_csv_inferred(t.spark, path)
+    assert [kind for _, kind in found.dtypes] == ["int", "string", "double", "string"]
+    return found.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), *columns[1:])
+
+
 @add("write_outputs", with_comments(f"""SELECT f.format, c.* FROM ({_COMMENT_SQL}) AS c,
  (VALUES ('parquet'), ('csv'), ('jsonl')) AS f(format)"""))
 def _(t):
@@ -138,20 +159,33 @@ def _(t):
         ":", blank.cast("string"), F.count(F.when(F.col("lang") == "en", 1)).cast("string")).alias("detail"))
 
 
-@add("sink_factory", """SELECT f.format, CAST(count(*) AS BIGINT) AS n FROM orders, (VALUES ('csv'), ('json'),
- ('parquet'), ('excel'), ('db'), ('sqlite'), ('mongodb')) AS f(format) GROUP BY 1""")
+@add("sink_factory", """SELECT f.format, CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderpriority
+ FROM orders, (VALUES ('csv'), ('json'), ('parquet'), ('excel'), ('db'), ('sqlite'), ('mongodb')) AS f(format)""")
 def _(t):
-    rows = t.orders.select("o_orderkey", "o_custkey")
-    counts = []
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+    parts = []
     for fmt in ("csv", "json", "parquet", "excel", "db", "sqlite", "mongodb"):
         path = stage_path(t.spark, f"sink-{fmt}")
         sinks.create_sink(fmt)(rows, path, keys=["o_orderkey"], order=["o_custkey"])
-        if fmt in ("csv", "json"):
+        if fmt in ("db", "sqlite", "mongodb"):
+            back = sinks.read_keyed(t.spark, path)
+        elif fmt in ("csv", "json"):
             back = t.spark.read.format(fmt).options(header="true").load(path)
         else:
             back = t.spark.read.parquet(f"{path}/Contents" if fmt == "excel" else path)
-        counts.append(back.select(F.lit(fmt).alias("format")))
-    every = counts[0]
-    for c in counts[1:]:
-        every = every.unionByName(c)
-    return every.groupBy("format").agg(F.count("*").alias("n"))
+        parts.append(back.select(F.lit(fmt).alias("format"), *[F.col(c).cast("string").alias(c) for c in ("o_orderkey", "o_custkey")], "o_orderpriority"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+# Three batches of documents with different fields: what a batch does not carry stays.
+@add("document_sink_fields", """SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'third' ELSE o_orderstatus END AS status,
+ CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS customer, CASE WHEN o_orderkey % 5 = 0 THEN 3 ELSE 1 END AS seq FROM orders""")
+def _(t):
+    path = stage_path(t.spark, "documents")
+    key = F.col("o_orderkey")
+    batches = [t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"), F.lit(1).alias("seq")),
+               t.orders.where(key % 3 == 0).select("o_orderkey", F.col("o_custkey").alias("customer")),
+               t.orders.where(key % 5 == 0).select("o_orderkey", F.lit("third").alias("status"), F.lit(3).alias("seq"))]
+    for batch in batches:
+        sinks.upsert_documents(batch, path, ["o_orderkey"], ["o_orderkey"])
+    return sinks.read_keyed(t.spark, path).select("o_orderkey", "status", "customer", "seq")

@@ -169,6 +169,22 @@ def _(t):
         broken.agg(F.lit("broken files").alias("part"), F.count("*").alias("n")))
 
 
+@add("json_arrays_lost_values", """SELECT CASE WHEN event_id % 10 = 3 THEN 'set aside' ELSE 'record' END AS part, event_id AS id,
+ CASE WHEN event_id % 10 <> 3 THEN event_type || ' "}]{[' || chr(92) END AS kind FROM events""")
+def _(t):
+    # One record in ten has a word for a number; it alone is set aside, whatever file it is in and however the file is cut.
+    path = stage_path(t.spark, "json-lost")
+    number = F.when(F.col("event_id") % 10 == 3, F.concat(F.lit("x"), F.col("event_id").cast("string"))).otherwise(F.col("event_id").cast("string"))
+    record = F.to_json(F.struct(number.alias("id"), F.concat("event_type", F.lit(' "}]{['), F.lit(chr(92))).alias("kind"), F.struct(
+        F.array(F.lit(1), F.lit(2)).alias("a")).alias("deep")))
+    t.events.groupBy((F.col("event_id") % 4).alias("file")).agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(record), " ,"), F.lit("]\n")).alias(
+        "value")).write.partitionBy("file").text(path)
+    records, set_aside = json_records.read_json_arrays(t.spark, path, "id bigint, kind string", glob="*.txt")
+    wrong = F.get_json_object("payload", "$.id")
+    return records.select(F.lit("record").alias("part"), "id", "kind").unionByName(set_aside.select(
+        F.lit("set aside").alias("part"), F.substring(wrong, 2, 30).cast("bigint").alias("id"), F.lit(None).cast("string").alias("kind")))
+
+
 @add("json_quarantine", "SELECT count(*) AS broken FROM events WHERE event_id % 7 = 6")
 def _(t):
     return json_records.explode_payloads(_payloads(t), "payload", _RECORD)[1].agg(F.count("*").alias("broken"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,24 +81,76 @@ def exact_quantile(df: DataFrame, value: str, q: float, weight: str | None = Non
         low, high = lo, hi
 
 
+@dataclass
+class _Bracket:
+    """Where one quantile of one group lies: ``before`` rows below ``low``, the wanted rank up to ``high``."""
+
+    low: float
+    high: float
+    rank: int
+    fraction: float
+    before: int = 0
+    found: float | None = None
+
+    def narrow(self, counts: list[tuple]) -> None:
+        """(slot, rows, smallest, largest) of the bracket's slots, in order."""
+        for i, (_, n, low, high) in enumerate(counts):
+            if self.before + n > self.rank:
+                break
+            self.before += n
+        last = self.before + n == self.rank + 1
+        if self.fraction and last and i + 1 < len(counts):
+            # The wanted value is this slot's largest and its successor opens the next slot.
+            self.found = high + (counts[i + 1][2] - high) * self.fraction
+        elif low == high and not (self.fraction and last):
+            self.found = low
+        self.low, self.high = low, high
+
+
+def grouped_quantiles(df: DataFrame, group: str, value: str, qs: Sequence[float], slots: int = 512) -> dict:
+    """Group -> (rows, exact quantiles with linear interpolation), for all groups in the same passes.
+
+    As :func:`exact_quantile`, each pass counts ``slots`` equal slots of every open bracket, so neither a task nor the driver
+    holds a group's values: it gets groups x quantiles x slots counters at most.  Groups must be few, such as bins.
+    """
+    rows = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).filter("g IS NOT NULL AND v IS NOT NULL AND NOT isnan(v)")
+    spark, sizes, brackets = df.sparkSession, {}, {}
+    for r in rows.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect():
+        sizes[r.g] = r.n
+        for i, q in enumerate(qs):
+            rank = math.floor(q * (r.n - 1))
+            brackets[r.g, i] = _Bracket(r.lo, r.hi, rank, q * (r.n - 1) - rank, found=r.lo if r.lo == r.hi else None)
+    kind = rows.schema["g"].dataType.simpleString()
+    while open_ := {k: b for k, b in brackets.items() if b.found is None}:
+        table = spark.createDataFrame([(g, i, b.low, b.high, (b.high - b.low) / slots) for (g, i), b in open_.items()],
+                                      f"g {kind}, i int, lo double, hi double, width double")
+        slot = F.when(F.col("v") == F.col("hi"), slots).when(F.col("width") > 0, F.least(F.lit(slots - 1), F.floor(
+            (F.col("v") - F.col("lo")) / F.col("width")))).otherwise(F.when(F.col("v") == F.col("lo"), 0).otherwise(1))
+        inside = rows.join(F.broadcast(table), "g").filter("v BETWEEN lo AND hi")  # at most a row per group and quantile
+        counts: dict = {}
+        for r in inside.groupBy("g", "i", slot.alias("s")).agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).collect():
+            counts.setdefault((r.g, r.i), []).append((r.s, r.n, r.a, r.b))
+        for key, b in open_.items():
+            b.narrow(sorted(counts[key]))
+    return {g: (n, [brackets[g, i].found for i in range(len(qs))]) for g, n in sizes.items()}
+
+
 def boxplot_stats(df: DataFrame, length: str = "content_len", value: str = "norm_score") -> DataFrame:
     """Quartiles and 1.5-IQR whiskers of the value per length group; outliers are left out.
 
-    Rows are first counted per (group, value).  Values are small scores over bounded lengths, so
-    that histogram, and with it the quartile state, is bounded whatever the number of rows.
+    Groups are bins of the length, a few.  Values may be any numbers; no task holds those of a group.  ``df`` is read several
+    times; stage it first when it is expensive.
     """
-    hist = (df.withColumn("len_group", bin_right_closed(F.col(length))).filter("len_group IS NOT NULL")
-            .groupBy("len_group", value).agg(F.count("*").alias("_n")))
-    quartiles = hist.groupBy("len_group").agg(
-        F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("_n")).alias("_q"),
-        F.sum("_n").alias("n"))
-    fences = quartiles.select("len_group", "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                              F.col("_q")[2].alias("q3")).withColumn("_iqr", F.col("q3") - F.col("q1"))
-    inside_low = F.when(F.col(value) >= F.col("q1") - F.col("_iqr") * 1.5, F.col(value))
-    inside_high = F.when(F.col(value) <= F.col("q3") + F.col("_iqr") * 1.5, F.col(value))
-    return (hist.join(fences, "len_group").groupBy("len_group", "n", "q1", "median", "q3")
-            .agg(F.least(F.min(inside_low), F.col("q1")).alias("whisker_low"),
-                 F.greatest(F.max(inside_high), F.col("q3")).alias("whisker_high")))
+    rows = df.select(bin_right_closed(F.col(length)).alias("len_group"), F.col(value).alias("_v")).filter("len_group IS NOT NULL")
+    found = grouped_quantiles(rows, "len_group", "_v", (0.25, 0.5, 0.75))
+    kind = rows.schema["len_group"].dataType.simpleString()
+    fences = df.sparkSession.createDataFrame([(g, n, *map(float, q)) for g, (n, q) in found.items()],
+                                             f"len_group {kind}, n long, q1 double, median double, q3 double")
+    low, high = (F.col("q1") - (F.col("q3") - F.col("q1")) * 1.5, F.col("q3") + (F.col("q3") - F.col("q1")) * 1.5)
+    inside = rows.join(F.broadcast(fences), "len_group")  # a row per bin
+    return (inside.groupBy("len_group", "n", "q1", "median", "q3")
+            .agg(F.least(F.min(F.when(F.col("_v") >= low, F.col("_v"))), F.col("q1")).alias("whisker_low"),
+                 F.greatest(F.max(F.when(F.col("_v") <= high, F.col("_v"))), F.col("q3")).alias("whisker_high")))
 
 
 def minmax_normalise(df: DataFrame, column: str, out: str) -> DataFrame:

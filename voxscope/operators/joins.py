@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import is_reply
+from ..session import stage
 from .aggregates import exact_quantile, user_activity
 from .topk import top_nodes
 
@@ -17,10 +18,10 @@ from .topk import top_nodes
 def attach_user_stats(df: DataFrame, stats: DataFrame | None = None, user: str = "user_id") -> DataFrame:
     """Add each user's totals to the user's rows.
 
-    Totals are pre-aggregated, so the join sees one row per user.  ``df`` is read twice unless
-    ``stats`` is given; stage it first when it is expensive.
+    Totals are pre-aggregated and staged, so the join sees one row per user and can split a hot one.
+    ``df`` is read twice unless ``stats`` is given; stage it first when it is expensive.
     """
-    stats = user_activity(df, user) if stats is None else stats
+    stats = stage(user_activity(df, user), "user-stats") if stats is None else stats
     return df.join(stats.drop("user_rows"), user, "left")
 
 

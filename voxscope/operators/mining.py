@@ -59,12 +59,11 @@ def tfidf(counts: DataFrame, doc: str, documents: int | Column) -> DataFrame:
     """(doc, term, tf, idf, tfidf) with idf = ln((m + 1) / (df + 1)).
 
     ``counts`` is read twice; stage it first.
-    ``documents`` is m.  Document frequencies are joined back by term; a very common term is a
-    hot key of that join and is split by the adaptive skew join when the term table is too
-    large to broadcast.
+    ``documents`` is m.  Document frequencies are staged and joined back by term: the join then has
+    exchanges of its own on both sides, and the adaptive skew join can split a very common term.
     """
     m = documents if isinstance(documents, Column) else F.lit(documents)
-    idf = counts.groupBy("term").agg(F.log((m + 1) / (F.count("*") + F.lit(1.0))).alias("idf"))
+    idf = stage(counts.groupBy("term").agg(F.log((m + 1) / (F.count("*") + F.lit(1.0))).alias("idf")), "idf")
     return counts.join(idf, "term").select(doc, "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import merge
-from ..session import stage
 from .csv_safe import CSV_OPTIONS, is_missing
+from .keyed_tables import KeyedTable
 
 # White space at the ends of a text is content, not layout.
 _CSV_WRITE = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"} | {
@@ -94,50 +94,46 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Data
         return spark.createDataFrame([], schema)
 
 
-BUCKET, BUCKETS = "_bucket", 64
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A keyed table as its last batch left it; before the first, an empty one."""
+    return KeyedTable(spark, path).read(schema)
 
 
-def _merge_buckets(df: DataFrame, path: str, keys: list[str], merged: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """Rewrite the key-hash buckets that a batch touches; the files of all others stay.
-
-    The merged rows are staged completely before they replace the old ones.  One writer at a time.
-    """
-    spark = df.sparkSession
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-    old = read_if_exists(spark, path, T.StructType([*df.schema.fields, T.StructField(BUCKET, T.IntegerType())]))
-    batch = stage(df.withColumn(BUCKET, bucket), "upsert-batch")
-    touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most BUCKETS
-    rows = stage(merged(old.where(F.col(BUCKET).isin(touched)).drop(BUCKET), batch.drop(BUCKET)).withColumn(BUCKET, bucket), "upsert")
-    rows.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
-    return read_table(spark, path, rows.schema).select([c for c in rows.columns if c != BUCKET])
+def _wide(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the columns of either."""
+    return old.unionByName(new.limit(0), allowMissingColumns=True), new.unionByName(old.limit(0), allowMissingColumns=True)
 
 
 def upsert_table(df: DataFrame, path: str, keys: list[str], order: list[str],
                  update: list[str] | None = None) -> DataFrame:
-    """Merge a batch into the Parquet table at ``path`` and return the new content.
+    """Merge a batch into the keyed table at ``path`` and return the new content.
 
     ``update`` names the columns a match may change; without it a match replaces the row.
     """
-    return _merge_buckets(df, path, keys, lambda old, new: merge.upsert_partial(old, new, keys, update, order) if update
-                          else merge.upsert_all(old, new, keys, order))
+    def merged(old: DataFrame, new: DataFrame) -> DataFrame:
+        old, new = _wide(old, new)
+        return merge.upsert_partial(old, new, keys, update, order) if update else merge.upsert_all(old, new, keys, order)
+
+    return KeyedTable(df.sparkSession, path).merge(df, keys, merged)
+
+
+_PRESENT = "_present"
 
 
 def upsert_documents(df: DataFrame, path: str, keys: list[str], order: list[str], present: str | None = None) -> DataFrame:
-    """Document ``$set``: the batch's fields overwrite, those it does not have stay.
+    """Document ``$set``: the batch's fields overwrite, those it does not have stay, over any number of batches.
 
     ``present`` names a column with the fields each document carries; without it these are all of the batch.
     """
     fields = [c for c in df.columns if c != present]
     given = F.col(present) if present else F.array(*[F.lit(c) for c in fields])
-    batch = df.withColumn("_present", given).select(*fields, "_present")
+    batch = df.withColumn(_PRESENT, given).select(*fields, _PRESENT)
 
     def merged(old: DataFrame, new: DataFrame) -> DataFrame:
-        empty = new.drop("_present").limit(0)
-        wide = old.unionByName(empty, allowMissingColumns=True)
-        return merge.set_merge(wide, new.unionByName(wide.limit(0), allowMissingColumns=True), keys, "_present", order)
+        wide, rows = _wide(old.drop(_PRESENT), new)
+        return merge.set_merge(wide.drop(_PRESENT), rows, keys, _PRESENT, order).withColumn(_PRESENT, F.lit(None).cast("array<string>"))
 
-    stored = _merge_buckets(batch, path, keys, lambda old, new: merged(old.drop("_present"), new))
-    return stored
+    return KeyedTable(df.sparkSession, path).merge(batch, keys, merged).drop(_PRESENT)
 
 
 def find_many(df: DataFrame, query: Mapping[str, object], limit: int = 0, order: str | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor
 
 from ..session import stage_path
-from ..sources.sinks import read_if_exists, upsert_table
+from ..sources.sinks import read_keyed, upsert_table
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet",
@@ -44,7 +44,7 @@ def stream_upsert(stream: DataFrame, path: str, keys: list[str], order: list[str
         upsert_table(batch, table, keys, order, update)
 
     run(stream.writeStream.foreachBatch(merge_batch), os.path.join(path, "_checkpoint"))
-    return lambda: read_if_exists(stream.sparkSession, table, schema).select(schema.names)
+    return lambda: read_keyed(stream.sparkSession, table, schema).select(schema.names)
 
 
 def stream_daily_trend(stream: DataFrame, ts: str = "create_time", score: str = "sentiment_score",
@@ -70,7 +70,7 @@ def collect_updates(result: DataFrame, path: str, keys: list[str]) -> Callable[[
         upsert_table(batch.withColumn("_batch", F.lit(batch_id)), table, keys, ["_batch"])
 
     run(result.writeStream.outputMode("update").foreachBatch(write), os.path.join(path, "_checkpoint"))
-    return lambda: read_if_exists(result.sparkSession, table, schema).select(schema.names)
+    return lambda: read_keyed(result.sparkSession, table, schema).select(schema.names)
 
 
 def stream_expiring_dedup(stream: DataFrame, keys: list[str], ts: str, ttl: str) -> DataFrame:
