@@ -40,6 +40,15 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(make):
     assert out[3000].kept and out[3001].kept and all(out[4000 + i].kept for i in range(100))
 
 
+def test_small_hosts_are_judged_like_large_ones(make):
+    menu = " ".join(f"menu{j}" for j in range(55))
+    for n in (3, 19, 20, 40):
+        rows = [(i, f"{menu}\nown{i} a b c d", "en", "h", 0) for i in range(n)] + [(100, " ".join(f"o{j}" for j in range(60)), "en", "h", 0)]
+        assert [r.doc_id for r in quality_rules(make(rows)).where("kept").select("row.doc_id").collect()] == [100], n
+    pair = [(i, f"{menu}\nown{i} a b c d", "en", "h", 0) for i in range(2)]
+    assert quality_rules(make(pair)).where("kept").count() == 2  # two are no repetition yet
+
+
 def test_clashing_names_and_empty_tables(make):
     rows = make([(1, "a b c", 7, 8, "s")], "doc_id long, text string, c long, n_words long, source string")
     assert [(r.row.c, r.row.n_words, r.n_words) for r in quality_rules(rows).collect()] == [(7, 8, 3)]

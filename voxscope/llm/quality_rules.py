@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .words import BLANKS, WORD
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-MAX_SHARE, MIN_DOCS, MIN_LEFT = 0.05, 20, 0.3
+MAX_SHARE, MIN_DOCS, MIN_LEFT = 0.05, 3, 0.3
 BROADCAST_HOSTS = 100_000
 _BLANK_CHARS = "\t\n\x0b\x0c\r "
 _POSITION = (1 << 30) - 1
@@ -72,7 +72,8 @@ def frequent_lines(docs: DataFrame, text: str = "text", host: str = "source", ma
                    min_docs: int = MIN_DOCS) -> DataFrame:
     """(__host, __bad): per host the hashes of lines that stand in more than ``max_share`` of its distinct texts.
 
-    A line needs ``min_docs`` texts at least.  Exact copies are one text: they are for deduplication to judge.
+    A line needs ``min_docs`` texts at least, the least that is more than a pair.  Exact copies are one text: they are for
+    deduplication to judge.
     """
     base = docs.select(F.col(host).alias("__host"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__doc"), F.array_distinct(
         F.transform(lines_with_words(F.col(text)), line_key)).alias("__lines"))
