@@ -73,6 +73,14 @@ def test_rows_of_near_duplicates(make, odd_texts):
     assert sorted(x for x in kept if x is not None) == sorted(set(want.values())) and kept.count(None) == 1
 
 
+def test_one_id_with_several_texts(make):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(60)) for _ in range(3)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (3, texts[1]), (3, texts[0]), (1, texts[0]), (None, texts[2])]
+    got = sorted((r.doc_id, r.text) for r in keep_one_per_group(make([(i, t, "en", "s", 0) for i, t in rows])).collect())
+    assert got == sorted([(1, texts[0]), (1, texts[1]), (2, texts[2])])  # a row for each of the three groups
+
+
 def test_empty_table(make):
     assert near_duplicates(make([])).collect() == [] and keep_one_per_group(make([])).collect() == []
 

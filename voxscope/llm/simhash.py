@@ -113,12 +113,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE,
 def keep_one_per_group(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The document with the smallest ``doc_id`` of each group, one row of it if it is repeated, with all its columns.
 
-    A group without any ``doc_id`` keeps one row with its smallest fingerprint.
+    A document is named by its ``doc_id`` and its fingerprint, so rows that share an id but are in different groups stay, one
+    for each.  Of several fingerprints with the smallest id the smallest counts.  A group without any ``doc_id`` keeps one row
+    with its smallest fingerprint.
     """
     found = near_duplicates(docs, text, shingle, max_bits)
-    named = found.where("doc_id = component_id").select("doc_id").distinct()
     fp = fresh("fp", docs.columns)
-    nameless = found.where("doc_id IS NULL AND component_id IS NULL AND fp = head").select(F.col("fp").alias(fp)).distinct()
-    others = docs.where("doc_id IS NULL").withColumn(fp, simhash(F.col(text), shingle)).join(nameless, fp, "left_semi")
-    return docs.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(
-        others.dropDuplicates([fp]).drop(fp).select(docs.columns))
+    # Per group, told apart by its smallest fingerprint, the row that names it; nameless ones come last.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp"))
+    kept = stage(found.groupBy("head").agg(first.alias("f")).select(F.col("f.doc_id").alias("__doc"), F.col("f.fp").alias("__fp")), "one-per-group")
+    own = docs.withColumn(fp, simhash(F.col(text), shingle))
+    return own.join(kept, F.col(fp).eqNullSafe(F.col("__fp")) & own["doc_id"].eqNullSafe(F.col("__doc")), "left_semi").dropDuplicates(
+        ["doc_id", fp]).select(docs.columns)
