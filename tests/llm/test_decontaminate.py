@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from voxscope.llm.decontaminate import Items, allowed, best_distance, cgk, drop_leaking, edit_words, find_leaks, leaks
 
@@ -66,9 +67,13 @@ def test_exact_leaks_in_any_dress(make):
     rows = [(1, f"before {item} after", "en", "s", 0), (2, item.upper() + "!!", "en", "s", 0), (3, "| ".join(item.split()), "en", "s", 0),
             (4, "one two three four five", "en", "s", 0), (None, item, "en", "s", 0), (1, f"before {item} after", "en", "s", 0)]
     bench = make([(9, item), (10, None), (11, "..."), (None, item)], "item_id long, text string")
-    out = sorted(tuple(r) for r in find_leaks(make(rows), bench).collect() if r.doc_id is not None)
+    found = [tuple(r) for r in find_leaks(make(rows), bench).collect()]
+    out = sorted(r for r in found if r[0] is not None and r[1] is not None)
     assert out == [(1, 9, 1, 12, 0), (1, 9, 1, 12, 0), (2, 9, 0, 12, 0), (3, 9, 0, 12, 0)]
+    assert sorted(r[2:] for r in found if r[1] is None) == sorted(r[2:] for r in found if r[1] == 9) and len(found) == 10
     assert [r.doc_id for r in drop_leaking(make(rows), bench).collect()] == [4]
+    nameless = make([(None, item)], "item_id long, text string")
+    assert [r.doc_id for r in drop_leaking(make(rows), nameless).collect()] == [4]
 
 
 def test_blocks_of_items_find_the_same(make):
@@ -88,11 +93,39 @@ def test_odd_texts_and_empty_tables(make, odd_texts):
     assert drop_leaking(docs, none).count() == len(odd_texts)
 
 
-def test_long_items_are_found_by_stretches(make):
-    rng = random.Random(9)
-    item = [rng.choice(VOCABULARY) + str(i) for i in range(700)]
-    docs = make([(1, " ".join(item), "", "", 0), (2, "x " + " ".join(item[100:400]), "", "", 0), (3, " ".join(item[:40]), "", "", 0)])
-    assert {r.doc_id for r in find_leaks(docs, make([(5, " ".join(item))], "item_id long, text string")).collect()} == {1, 2}
+def at_the_limit(rng, item, kind):
+    words = list(item)
+    for place in rng.sample(range(len(item)), allowed(len(item), 0.8)) if kind == "s" else ():
+        words[place] = f"new{rng.randrange(10 ** 6)}"
+    for _ in range(allowed(len(item), 0.8) if kind != "s" else 0):
+        at = rng.randrange(len(words))
+        words[at:at + (kind == "d")] = [] if kind == "d" else [f"new{rng.randrange(10 ** 6)}"]
+    return words
+
+
+@pytest.mark.parametrize("size", [5, 9, 16, 27, 40, 60, 80, 100, 128, 129, 300])
+def test_recall_at_the_limit(size):
+    rng = random.Random(size * 31)
+    met = dict.fromkeys("sid", 0)
+    for trial in range(10):  # items of their own, unlike those the number of walks was found with
+        item = [f"{rng.choice(VOCABULARY)}{rng.randrange(300)}" for _ in range(size)]
+        block = Items.of([1], [" ".join(item)], 0.8)
+        texts = [" ".join([*(rng.choice(VOCABULARY) for _ in range(20)), *at_the_limit(rng, item, kind), *(rng.choice(VOCABULARY) for _ in range(9))])
+                 for kind in "sid" for _ in range(10)]
+        for row, *_ in leaks(pa.array(texts), block, 0.8):
+            met["sid"[row // 10]] += 1
+    assert min(met.values()) >= 95, met
+
+
+@pytest.mark.parametrize("size", [100, 128, 130, 700])
+def test_only_whole_items_leak(make, size):
+    rng = random.Random(size)
+    item = [rng.choice(VOCABULARY) + str(i) for i in range(size)]
+    docs = make([(1, " ".join(item), "", "", 0), (2, "x " + " ".join(item[:size // 2]), "", "", 0), (3, "y " + " ".join(item[size // 10:]), "", "", 0),
+                 (4, " ".join(["z"] * 50 + item[:-(size // 6)]) + " z" * 50, "", "", 0), (5, " ".join(item[size // 3:]), "", "", 0)])
+    found = {r.doc_id: r for r in find_leaks(docs, make([(5, " ".join(item))], "item_id long, text string")).collect()}
+    assert sorted(found) == [1, 3, 4] and {r.n_item_words for r in found.values()} == {size}
+    assert [found[k].distance for k in (1, 3, 4)] == [0, size // 10, size // 6]
 
 
 def test_words_are_normalised():
