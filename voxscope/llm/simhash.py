@@ -122,6 +122,12 @@ def keep_one_per_group(docs: DataFrame, text: str = "text", shingle: int = SHING
     # Per group, told apart by its smallest fingerprint, the row that names it; nameless ones come last.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp"))
     kept = stage(found.groupBy("head").agg(first.alias("f")).select(F.col("f.doc_id").alias("__doc"), F.col("f.fp").alias("__fp")), "one-per-group")
-    own = docs.withColumn(fp, simhash(F.col(text), shingle))
-    return own.join(kept, F.col(fp).eqNullSafe(F.col("__fp")) & own["doc_id"].eqNullSafe(F.col("__doc")), "left_semi").dropDuplicates(
-        ["doc_id", fp]).select(docs.columns)
+    # Only ids with several fingerprints, and rows without an id, are told apart by their fingerprint once more.
+    several = stage(found.groupBy("doc_id").agg((F.min("fp") != F.max("fp")).alias("several")).where(
+        "several AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__doc")), "ids-of-several")
+    plain = docs.join(kept.where("__doc IS NOT NULL").join(several, "__doc", "left_anti").select("__doc").distinct(),
+                      docs["doc_id"] == F.col("__doc"), "left_semi").dropDuplicates(["doc_id"])
+    rest = docs.join(several, docs["doc_id"] == several["__doc"], "left_semi").unionByName(docs.where("doc_id IS NULL")).withColumn(
+        fp, simhash(F.col(text), shingle))
+    named = rest.join(kept, F.col(fp).eqNullSafe(F.col("__fp")) & F.col("doc_id").eqNullSafe(F.col("__doc")), "left_semi")
+    return plain.unionByName(named.dropDuplicates(["doc_id", fp]).select(docs.columns))
