@@ -278,7 +278,7 @@ def test_bundle_skips_empty_sheets_and_flattens(spark, tmp_path):
 RAW = [
     # id, create_time, last_modify, place, content, user, avatar, likes, replies, parent, pictures
     ("c1", "1764858046000", None, "河南", "这个产品很好，推荐大家", "u1", "a.png", "11", "0", "0", ""),
-    ("c2", "1764858049000", None, "广东", "太贵了", "u1", "b.png", "1.2万", "x", "66fad51c", "http://p/1.png"),
+    ("c2", "1764858049000", None, "广东", "太贵了", "u1", "b.png", "1.2万", "x", "9bc41fa7", "http://p/1.png"),
     ("c3", None, "1764858146000", None, "<b>支持</b> 国产手机 [赞]", "u2", None, "3", "1", "0", None),
     ("c4", "1764858246000", None, "US", "转发微博一下", "u3", "c.png", "0", "0", "0", None),
     ("c5", "1764858346000", None, "美国", "默认头像的人说话", "u4", "http://x/default.png", "0", "0", "0", None),
