@@ -38,15 +38,35 @@ def test_gap_equals_pandas(skewed):
     df, pdf = skewed
     ordered = pdf.sort_values(["user_id", "create_time", "comment_id"])
     want = dict(zip(ordered.comment_id, ordered.groupby("user_id").create_time.diff().dt.total_seconds(), strict=True))
-    got = {r.comment_id: r.time_diff for r in dedup.time_since_prev(df, bucket_seconds=600).collect()}
+    got = {r.comment_id: r.time_diff for r in dedup.time_since_prev(df, ranges=13).collect()}
     assert len(got) == len(want)
     assert all((got[k] is None and math.isnan(v)) or math.isclose(got[k], v, abs_tol=1e-6) for k, v in want.items())
 
 
-def test_burst_filter_does_not_depend_on_bucket_or_layout(skewed):
+def test_gaps_of_hot_users_hours_instants_and_rows_without_user(spark):
+    """A third of the rows is one user's hour, another third one instant, the rest has no user: all are split."""
+    at = pd.Timestamp("2024-01-01 10:00")
+    data = [(i, 7 if i % 3 == 0 else 5 if i % 3 == 1 else None, at + pd.Timedelta(milliseconds=i * 37 % 3_600_000 if i % 3 == 0 else 0))
+            for i in range(6000)] + [(6000, 6, None), (6001, 6, at), (6002, 8, at)]
+    df = spark.createDataFrame([(i, u, None if t is None else t.to_pydatetime()) for i, u, t in data],
+                               "comment_id long, user_id int, create_time timestamp_ntz").repartition(5)
+    out = dedup.time_since_prev(df, ranges=12)
+    want, last = {}, {}
+    for i, u, t in sorted((r for r in data if r[1] is not None), key=lambda r: (r[1], r[2] or pd.Timestamp.min, r[0])):
+        want[i] = None if last.get(u) is None or t is None else (t - last[u]).total_seconds()
+        last[u] = t
+    got = {r.comment_id: r.time_diff for r in out.collect()}
+    assert len(got) == len(data) and all(got[i] == pytest.approx(want.get(i)) for i in got)
+    read = next(x for x in out.inputFiles() if "ranges" in x).rsplit("/", 1)[0]
+    sizes = [r["count"] for r in spark.read.parquet(read).groupBy("_range").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < len(data) / 6
+    assert dedup.time_since_prev(df.limit(0)).collect() == []
+
+
+def test_burst_filter_does_not_depend_on_ranges_or_layout(skewed):
     df, _ = skewed
     wide = rows_of(dedup.burst_spam_filter(df, 500, 20).select("comment_id"))
-    fine = rows_of(dedup.burst_spam_filter(df.repartition(1), 500, 20, bucket_seconds=60).select("comment_id"))
+    fine = rows_of(dedup.burst_spam_filter(df.repartition(1), 500, 20, ranges=31).select("comment_id"))
     assert wide == fine and 0 < len(wide) < 3000
 
 

@@ -2,7 +2,7 @@
 
 None of these gathers a group in one task.  ``row_number() <= n`` is limited inside every map
 task before the shuffle, so a text that a third of all rows share travels as one row per task;
-the time gap is computed per (user, hour), so one very active user is split by hour.
+the time gap is computed in ranges of (user, time), so one very active user is split, even within an hour.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.times import epoch_seconds
+from ..session import stage
 
 
 def dedup_keep_first(df: DataFrame, keys: list[str] | str, order: list[str | Column] | str) -> DataFrame:
@@ -28,30 +28,30 @@ def dedup_any(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def time_since_prev(df: DataFrame, user: str = "user_id", ts: str = "create_time", tie: str = "comment_id",
-                    out: str = "time_diff", bucket_seconds: int = 3600) -> DataFrame:
-    """Seconds since the same user's previous row; null for the first.
-
-    The lag runs inside (user, hour).  The first row of an hour looks at the last row of the
-    user's previous non-empty hour, which comes from one maximum per (user, hour).  That summary
-    is pre-aggregated and holds at most one row per user and hour, however many rows a user has.
-    ``df`` is read twice; stage it first when it is expensive.
+                    out: str = "time_diff", ranges: int | None = None) -> DataFrame:
+    """Seconds since the same user's previous row; null for the first, and for rows without a user.
+
+    Rows are dealt into ranges of (user, ts, tie) and written once, so that every later step sees the same
+    borders.  Ranges hold about equally many rows, however these spread over users and hours.  The lag
+    runs inside a range; a range's first row looks at the last row of the range before, of which there
+    is one per range.  ``ranges`` defaults to the session's shuffle partitions.  All columns of ``df``
+    travel: select what is needed first.
     """
-    bucketed = df.withColumn("_bucket", F.floor(epoch_seconds(F.col(ts)) / bucket_seconds))
-    inside = Window.partitionBy(user, "_bucket").orderBy(ts, tie)
-    across = Window.partitionBy(user).orderBy("_bucket")
-    lasts = (bucketed.groupBy(user, "_bucket").agg(F.max(ts).alias("_last"))
-             .select(user, "_bucket", F.lag("_last").over(across).alias("_earlier")))
-    previous = F.coalesce("_previous", "_earlier")
-    gap = F.timestamp_diff("MICROSECOND", previous, F.col(ts)) / F.lit(1e6)
-    return (bucketed.withColumn("_previous", F.lag(ts).over(inside))
-            .join(lasts, [user, "_bucket"], "left")
-            .withColumn(out, F.when(F.col(user).isNotNull(), gap))
-            .select(*df.columns, out))
+    order, place = [user, ts, tie], F.struct(F.col(user).alias("user"), F.col(ts).alias("ts"))
+    dealt = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    rows = stage(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    borders = rows.groupBy("_range").agg(F.max(place).alias("_end")).select(
+        "_range", F.lag("_end").over(Window.orderBy("_range")).alias("_end"))  # one row per range
+    inside = Window.partitionBy("_range").orderBy(*order)
+    found = rows.withColumn("_earlier", F.lag(place).over(inside)).join(F.broadcast(borders), "_range")
+    previous = F.coalesce("_earlier", "_end")
+    gap = F.timestamp_diff("MICROSECOND", previous["ts"], F.col(ts)) / F.lit(1e6)
+    return found.select(*df.columns, F.when(previous["user"] == F.col(user), gap).alias(out))
 
 
 def burst_rows(df: DataFrame, max_gap: float = 10, max_length: int = 20, user: str = "user_id",
                ts: str = "create_time", text: str = "content_clean", tie: str = "comment_id",
-               bucket_seconds: int = 3600) -> DataFrame:
+               ranges: int | None = None) -> DataFrame:
     """(user, ts, tie) of short rows that follow the user's previous row too soon.
 
     The gap counts from the previous row even when that row is itself spam.  Only these columns and
@@ -59,7 +59,7 @@ def burst_rows(df: DataFrame, max_gap: float = 10, max_length: int = 20, user: s
     """
     slim = df.filter(F.col(user).isNotNull()).select(user, ts, tie, F.coalesce(
         F.length(text) < max_length, F.lit(False)).alias("_short"))
-    gaps = time_since_prev(slim, user, ts, tie, "_gap", bucket_seconds)
+    gaps = time_since_prev(slim, user, ts, tie, "_gap", ranges)
     return gaps.filter(F.col("_short") & (F.col("_gap") < max_gap)).select(user, ts, tie).distinct()
 
 
@@ -73,11 +73,11 @@ def without_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
 
 def burst_spam_filter(df: DataFrame, max_gap: float = 10, max_length: int = 20, user: str = "user_id",
                       ts: str = "create_time", text: str = "content_clean", tie: str = "comment_id",
-                      bucket_seconds: int = 3600) -> DataFrame:
+                      ranges: int | None = None) -> DataFrame:
     """Drop short rows that follow the user's previous row too soon; see :func:`burst_rows`.
 
     Rows are told apart by user, time and ``tie``.  ``df`` is read twice; stage it first when it is expensive.
     """
     if not {user, ts, text} <= set(df.columns):
         return df
-    return without_rows(df, burst_rows(df, max_gap, max_length, user, ts, text, tie, bucket_seconds))
+    return without_rows(df, burst_rows(df, max_gap, max_length, user, ts, text, tie, ranges))
