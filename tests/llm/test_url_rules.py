@@ -50,3 +50,23 @@ def test_clashing_names_and_empty_tables(make):
     rows = make([(1, "http://a.org/", 3, "x")], "page_id long, url string, no int, rule string")
     assert [(r.row.no, r.row.rule, r.rule) for r in judge_urls(rows).collect()] == [(3, "x", "org/")]
     assert judge_urls(make([], "page_id long, url string")).collect() == []
+
+
+def test_hot_and_null_urls_are_split(spark, make):
+    """With a join by shuffle and small limits, a url and a null that hold a third of the rows each meet in many tasks."""
+    from pyspark.sql import functions as F
+    pages = spark.range(60000, numPartitions=12).select(F.col("id").alias("page_id"), F.when(F.col("id") % 3 == 0, "http://hot.org/a").when(
+        F.col("id") % 3 == 1, F.concat(F.lit("http://h"), "id", F.lit(".org/a"))).alias("url"))
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        got = judge_urls(pages).select("row.page_id", "host", "rule")
+        parts = got.withColumn("part", F.spark_partition_id()).groupBy("part", "host").count().collect()
+        assert got.count() == 60000 and got.where("rule IS NULL").count() == 20000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len([r for r in parts if r["host"] == "hot.org"]) > 1 and len([r for r in parts if r["host"] == ""]) > 1

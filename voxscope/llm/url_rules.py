@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 BROADCAST_RULES = 100_000
 _HOST = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _TOKEN = "[A-Za-z0-9]+"
@@ -91,7 +93,9 @@ def judge_urls(pages: DataFrame, url: str = "url", sites: list[SiteRule] = SITE_
     ``rule`` is the longest site rule that fits, of equal ones the first given; its verdict decides.  Else the verdict is
     ``block`` if a blocking pattern matches (``pattern`` names the first) and no exception does, ``allow`` otherwise.
     A url that is null or has no ``://`` has an empty host and path; no site rule fits it.  Distinct urls are judged once,
-    so a page that is there a million times costs one judgement.  An empty table gives an empty table.
+    so a page that is there a million times costs one judgement.  Judgements are staged: beyond the size Spark broadcasts,
+    both sides of the last join are then exchanges, and adaptive execution splits the rows of a hot or null url.
+    An empty table gives an empty table.
     """
     spark = pages.sparkSession
     urls = pages.select(F.col(url).alias("__url")).where("__url IS NOT NULL").distinct()
@@ -111,9 +115,9 @@ def judge_urls(pages: DataFrame, url: str = "url", sites: list[SiteRule] = SITE_
     site = F.max(F.when(F.col("site"), F.struct("length", -F.col("no"), "rule", "verdict")))
     block = F.min(F.when(~F.col("site") & (F.col("verdict") == "block"), F.struct("no", "rule")))
     excuse = F.max((~F.col("site") & (F.col("verdict") == "allow")).cast("int"))
-    judged = hits.groupBy("__url").agg(site.alias("s"), block.alias("b"), excuse.alias("x")).select(
+    judged = stage(hits.groupBy("__url").agg(site.alias("s"), block.alias("b"), excuse.alias("x")).select(
         "__url", F.col("s.rule").alias("rule"), F.col("b.rule").alias("pattern"),
-        F.coalesce(F.col("s.verdict"), F.when(F.col("b").isNotNull() & (F.col("x") == 0), F.lit("block"))).alias("verdict"))
+        F.coalesce(F.col("s.verdict"), F.when(F.col("b").isNotNull() & (F.col("x") == 0), F.lit("block"))).alias("verdict")), "url-verdicts")
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), F.col(url).alias("__of"))
     return rows.join(judged, F.col("__of") == F.col("__url"), "left").select(
         "row", url_host(F.col("__of")).alias("host"), url_path(F.col("__of")).alias("path"), "rule",
