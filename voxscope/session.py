@@ -35,6 +35,9 @@ def build_session(app: str = "voxscope", master: str | None = None,
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
@@ -47,14 +50,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="voxscope-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    # A running session's core settings cannot be changed, so the folder is remembered here.
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="voxscope-checkpoint-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh, not yet existing folder below the checkpoint root."""
-    return os.path.join(checkpoint_root(spark), "voxscope", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(staged_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def staged_folder(spark: SparkSession, application: str | None = None) -> str:
+    """Where an application, this one unless named, keeps its intermediate tables."""
+    return os.path.join(checkpoint_root(spark), "voxscope", application or spark.sparkContext.applicationId)
+
+
+def drop_staged(spark: SparkSession, application: str | None = None) -> bool:
+    """Remove all intermediate tables of this application, or of an earlier one that has ended or crashed.
+
+    Frames that still read them fail afterwards, so call it once results are written.  Other
+    applications with the same checkpoint folder keep theirs.  False if there were none.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staged_folder(spark, application))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
