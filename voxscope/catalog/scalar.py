@@ -270,6 +270,15 @@ def _(t):
                         F.md5(F.array_join("w", " ")).alias("words_md5"))
 
 
+# A segmenter of one's own: runs of small letters, each with the capital before it.
+@add("tokenize_with_segmenter", """SELECT doc_id, CAST(len(w) AS BIGINT) AS tokens, md5(array_to_string(w, ' ')) AS words_md5
+ FROM (SELECT doc_id, regexp_extract_all(text, '[A-Z][a-z]{2,}|[a-z]{3,}') AS w FROM documents) AS s""")
+def _(t):
+    cut = tokens.tokenize(F.col("text"), min_len=3, segmenter=lambda x: F.regexp_extract_all(x, F.lit("[A-Z]?[a-z]+"), F.lit(0)))
+    return t.spread_documents.select("doc_id", cut.alias("w")).select(
+        "doc_id", F.size("w").cast("bigint").alias("tokens"), F.md5(F.array_join("w", " ")).alias("words_md5"))
+
+
 @add("tokenize_filtered", with_comments(
     "SELECT comment_id, CAST(len(w) AS BIGINT) AS tokens, md5(array_to_string(w, ' ')) AS words_md5 FROM "
     f"(SELECT comment_id, {FILTERED_SQL.format('content')} AS w FROM comments) AS s WHERE len(w) > 0"))
