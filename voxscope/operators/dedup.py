@@ -59,7 +59,8 @@ def burst_rows(df: DataFrame, max_gap: float = 10, max_length: int = 20, user: s
     """
     slim = df.filter(F.col(user).isNotNull()).select(user, ts, tie, F.coalesce(
         F.length(text) < max_length, F.lit(False)).alias("_short"))
-    gaps = time_since_prev(slim, user, ts, tie, "_gap", ranges)
+    # Dealing into ranges looks at its input twice; the texts are read once.
+    gaps = time_since_prev(stage(slim, "short"), user, ts, tie, "_gap", ranges)
     return gaps.filter(F.col("_short") & (F.col("_gap") < max_gap)).select(user, ts, tie).distinct()
 
 
