@@ -45,9 +45,11 @@ def csv_records(spark: SparkSession, path: str | list[str], quote: str = '"') ->
     lines = pieces(spark, path, "\n")
     odd = F.length("text") - F.length(F.replace("text", F.lit(quote), F.lit("")))
     stored = stage(lines.drop("size").withColumn("quotes", odd.cast("long")), "csv-lines")
-    opened = stage(with_sum_before(stored, "quotes", "before").withColumn(
-        "ends", ((F.col("before") + F.col("quotes")) % 2 == 0).cast("long")), "csv-open")
-    return _joined(with_sum_before(opened, "ends", "record"), "\n").withColumn("text", F.regexp_replace("text", "\r$", ""))
+    # Only the numbers are put in order; a line's text meets its record's number once.
+    opened = stage(with_sum_before(stored.drop("text"), "quotes", "before").select(
+        *_PLACE, ((F.col("before") + F.col("quotes")) % 2 == 0).cast("long").alias("ends")), "csv-open")
+    numbered = with_sum_before(opened, "ends", "record").select(*_PLACE, "record")
+    return _joined(stored.drop("quotes").join(numbered, _PLACE), "\n").withColumn("text", F.regexp_replace("text", "\r$", ""))
 
 
 def _count(text: Column, char: str) -> Column:
