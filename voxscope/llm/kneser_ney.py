@@ -20,7 +20,7 @@ from pyspark.sql import Window
 from ..session import stage
 from .words import chunk_number, text_bytes
 
-ORDER, CHUNK_ROWS = 4, 4000
+ORDER, CHUNK_ROWS, FEW_IDS = 4, 4000, 2_000_000
 LOW, HIGH, MARGIN, LEAST_CALIBRATION, LEAST_POOLED = 0.001, 0.995, 2, 50, 20
 CLASSES, STRETCH = range(4, 13), 64  # lengths of 16 to 4,096 bytes; bytes of a stretch
 _BLOCK, _STEP = 1 << 20, 1e-4
@@ -111,9 +111,14 @@ def trusted_ids(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def count_trusted(docs: DataFrame, ids: DataFrame, text: str = "text") -> DataFrame:
-    """(gram, c): four-byte n-grams of the texts with these ids, however many; each row counts as often as it occurs."""
-    known = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col(text).alias("__text"))
-    trusted = known.join(ids.select(F.col("doc_id").cast("long").alias("__id")), "__id", "left_semi").select("__text")
+    """(gram, c): four-byte n-grams of the texts with these ids, however many; each row counts as often as it occurs.
+
+    Up to ``FEW_IDS`` ids go to the texts; only more than that, at eight bytes each, are worth shuffling the texts for.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col(text).alias("__text"))
+    wanted = stage(ids.select(F.col("doc_id").cast("long").alias("__id")), "kn-trusted")
+    few = wanted.count() <= FEW_IDS
+    trusted = texts.join(F.broadcast(wanted) if few else wanted, "__id", "left_semi").select("__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
