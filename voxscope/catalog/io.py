@@ -18,6 +18,7 @@ registry = Registry()
 add = registry.add
 
 _COMMENT = ["comment_id", "note_id", "nickname", "content"]
+_PACKED = "gzip"  # comments repeat their documents' texts, and text files hold each of them
 # CSV cannot tell '' from null; neither occurs in these columns.
 _COMMENT_SQL = "SELECT CAST(comment_id AS VARCHAR) AS comment_id, CAST(note_id AS VARCHAR) AS note_id, nickname, " \
                "md5(content) AS content_md5 FROM comments"
@@ -30,7 +31,7 @@ def _as_text(df):
 @add("read_csv_safe", with_comments(_COMMENT_SQL))
 def _(t):
     path = stage_path(t.spark, "csv")
-    t.comments.select(_COMMENT).write.options(**sinks._CSV_WRITE).csv(path)
+    t.comments.select(_COMMENT).write.options(**sinks._CSV_WRITE, compression=_PACKED).csv(path)
     return _as_text(csv_safe.read_csv_safe(t.spark, path))
 
 
@@ -56,7 +57,7 @@ def _(t):
  (VALUES ('parquet'), ('csv'), ('jsonl')) AS f(format)"""))
 def _(t):
     rows = t.comments.select(*_COMMENT, F.to_date("create_time").alias("date"))
-    folders = sinks.write_outputs(rows, stage_path(t.spark, "outputs"), partition_by="date")
+    folders = sinks.write_outputs(rows, stage_path(t.spark, "outputs"), partition_by="date", compression=_PACKED)
     schema = "comment_id bigint, note_id bigint, nickname string, content string, date date"
     back = {"parquet": t.spark.read.parquet(folders["parquet"]), "csv": csv_safe.read_csv_safe(t.spark, folders["csv"]),
             "jsonl": t.spark.read.schema(schema).json(folders["jsonl"])}
@@ -90,8 +91,8 @@ def _register_append(name, append, read):
     @add(name, with_comments(_APPENDED))
     def _(t):
         path = stage_path(t.spark, name)
-        append(_parts(t.comments), path)
-        append(_parts(t.comments.filter("like_count > 100")), path)
+        append(_parts(t.comments), path, compression=_PACKED)
+        append(_parts(t.comments.filter("like_count > 100")), path, compression=_PACKED)
         return read(t.spark, path).select("item", F.date_format(F.col("dt").cast("date"), "yyyy-MM-dd").alias("dt"), F.col(
             "comment_id").cast("string").alias("comment_id"), F.md5("content").alias("content_md5"))
 

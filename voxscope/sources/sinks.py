@@ -19,18 +19,19 @@ _CSV_WRITE = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"} | {
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def write_outputs(df: DataFrame, path: str, partition_by: str | None = None) -> dict[str, str]:
+def write_outputs(df: DataFrame, path: str, partition_by: str | None = None, compression: str = "none") -> dict[str, str]:
     """Write Parquet, CSV and JSON Lines copies; returns their folders.
 
-    The plan runs once, for Parquet; the other copies are made from that table.
+    The plan runs once, for Parquet; the other copies are made from that table.  ``compression`` is that of the text files;
+    every reader of this library takes either, but a compressed file is one task.
     """
     folders = {fmt: os.path.join(path, fmt) for fmt in ("parquet", "csv", "jsonl")}
     clustered = df.hint("rebalance", partition_by) if partition_by else df  # few files per folder, none too large
     writer = clustered.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(folders["parquet"])
     stored = df.sparkSession.read.schema(df.schema).parquet(folders["parquet"]).select(df.columns)
-    _flat(stored).write.mode("overwrite").options(**_CSV_WRITE).csv(folders["csv"])
-    stored.write.mode("overwrite").option("ignoreNullFields", "false").json(folders["jsonl"])
+    _flat(stored).write.mode("overwrite").options(**_CSV_WRITE, compression=compression).csv(folders["csv"])
+    stored.write.mode("overwrite").options(ignoreNullFields="false", compression=compression).json(folders["jsonl"])
     return folders
 
 
@@ -43,14 +44,14 @@ def write_single_csv(df: DataFrame, path: str) -> None:
 PARTS = ("platform", "crawl_type", "item", "dt")
 
 
-def append_csv(df: DataFrame, path: str, parts: tuple[str, ...] = PARTS) -> None:
+def append_csv(df: DataFrame, path: str, parts: tuple[str, ...] = PARTS, compression: str = "none") -> None:
     """Append rows below platform/type/item/day folders."""
-    _flat(df).hint("rebalance", *parts).write.mode("append").partitionBy(*parts).options(**_CSV_WRITE).csv(path)
+    _flat(df).hint("rebalance", *parts).write.mode("append").partitionBy(*parts).options(**_CSV_WRITE, compression=compression).csv(path)
 
 
-def append_json(df: DataFrame, path: str, parts: tuple[str, ...] = PARTS) -> None:
+def append_json(df: DataFrame, path: str, parts: tuple[str, ...] = PARTS, compression: str = "none") -> None:
     """Append rows as JSON Lines; existing files are never rewritten."""
-    df.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).option("ignoreNullFields", "false").json(path)
+    df.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).options(ignoreNullFields="false", compression=compression).json(path)
 
 
 def cell_text(column: Column, kind: T.DataType) -> Column:
