@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .components import connected_components
+from .stages import few_tasks
 from .words import Words, mixed, window_hashes
 
 SHINGLE, PERCENT = 3, 90
@@ -295,11 +296,11 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x_k", "y_k").alias("a"), F.greatest("x_k", "y_k").alias("b")).distinct()
 
 
-def star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of the members of each bucket with one of them, the smallest by a hash that changes with ``turn``."""
+def star_pairs(members: DataFrame, rows: int, turn: int, percent: int) -> DataFrame:
+    """Pairs of the ``rows`` members of buckets with one of their bucket, the smallest by a hash that changes with ``turn``."""
     columns = ["k", "comp", "n", *_WORDS]
-    heads = stage(members.groupBy("sig").agg(F.min_by(F.struct(*columns), F.xxhash64("k", F.lit(turn))).alias("h")).select(
-        "sig", *[F.col(f"h.{c}").alias(f"y_{c}") for c in columns]), "jaccard-heads")
+    heads = stage(few_tasks(members.groupBy("sig").agg(F.min_by(F.struct(*columns), F.xxhash64("k", F.lit(turn))).alias("h")).select(
+        "sig", *[F.col(f"h.{c}").alias(f"y_{c}") for c in columns]), rows), "jaccard-heads")
     both = members.select("sig", *_named("x_", *columns)).join(heads, "sig")
     return _ordered(both.where(F.col("x_comp") != F.col("y_comp")).where(_near("x_", "y_", percent)))
 
@@ -354,7 +355,7 @@ def similar_links(docs: DataFrame, signed: DataFrame, classes: DataFrame, text:
     for turn in range(rounds + 1):
         if not left:
             break
-        pairs = star_pairs(members, turn, percent) if turn < rounds else left_pairs(members, percent, small, block)
+        pairs = star_pairs(members, left, turn, percent) if turn < rounds else left_pairs(members, percent, small, block)
         found = stage(verify(pairs, sets, percent), "jaccard-links")
         links = found if links is None else links.unionByName(found)
         if turn == rounds:
@@ -363,7 +364,7 @@ def similar_links(docs: DataFrame, signed: DataFrame, classes: DataFrame, text:
         named = members.drop("comp").join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn(
             "comp", F.coalesce("root", "k")).drop("root")
         open_ = named.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("sig")
-        members = stage(named.join(stage(open_, "jaccard-open"), "sig"), "jaccard-members")
+        members = stage(few_tasks(named.join(stage(few_tasks(open_, left), "jaccard-open"), "sig"), left), "jaccard-members")
         before, left = left, members.count()
         if turn < rounds - 1 and left > 0.8 * before:  # another turn would settle little
             pairs = left_pairs(members, percent, small, block)

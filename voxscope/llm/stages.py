@@ -7,6 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import stage, stage_path
 
 
+ROWS_PER_TASK = 25_000  # of a few numbers each
+
+
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which has about ``rows`` narrow rows, in as many tasks as these need, or as many as it has if that is less.
+
+    A task that holds a handful of rows costs its start and its file; late rounds of a loop are nothing but such tasks.
+    """
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 class Rounds:
     """Stage one table per round and drop a round's table once the next but one is written."""
 
