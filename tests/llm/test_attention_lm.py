@@ -1,5 +1,8 @@
 import math
+import os
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -119,3 +122,22 @@ def test_every_training_document_teaches(make, monkeypatch):
     held = next(i for i, *_ in common if i not in train)
     same = fit([(j, "zzqx zzqx" if held == j else t, *rest) for j, t, *rest in common])
     assert all(np.array_equal(plain.p[n], same.p[n]) for n in plain.p)
+
+
+def test_steps_reuse_their_memory():
+    """Steps on arrays of a megabyte must not ask the system for new pages each time."""
+    script = """
+import resource
+import numpy as np
+from voxscope.llm import attention_lm as lm
+lm._keep_freed_memory()
+model, rng = lm.AttentionModel.fresh(), np.random.default_rng(1)
+texts = [rng.integers(0, lm.EDGE, 700) for _ in range(200)]
+model.train(texts, 5, 256)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+model.train(texts, 20, 256)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before) // 20)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, check=True, timeout=120, cwd=root)
+    assert int(done.stdout) < 500

@@ -16,6 +16,7 @@ the corpus and hand back one total per word.  A word that stands in every text i
 from __future__ import annotations
 
 import base64
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -57,12 +58,23 @@ def encoder(ranks: dict[bytes, int]) -> tiktoken.Encoding:
     return _ENCODERS[len(ranks)]
 
 
+def _keep_freed_memory() -> None:
+    """Let this process reuse the arrays of a step in the next one; by default each of them is new pages from the system."""
+    try:
+        tune = ctypes.CDLL(None).mallopt
+    except (AttributeError, OSError, TypeError):  # another C library; it only takes longer
+        return
+    tune(-3, 16 << 20)  # M_MMAP_THRESHOLD
+    tune(-1, 64 << 20)  # M_TRIM_THRESHOLD
+
+
 def _sum_by(number: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Sums of the rows that share a number."""
     order = np.argsort(number.astype(np.int16), kind="stable")
-    have, at = np.unique(number[order], return_index=True)
+    ordered = number.take(order)
+    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     out = np.zeros((size, rows.shape[1]), dtype=rows.dtype)
-    out[have] = np.add.reduceat(rows.take(order, axis=0), at, axis=0)
+    out[ordered[at]] = np.add.reduceat(rows.take(order, axis=0), at, axis=0)
     return out
 
 
@@ -74,14 +86,6 @@ def _before(blocks: np.ndarray, first: np.ndarray) -> np.ndarray:
 _EARLIER = np.tril(np.ones((BLOCK, BLOCK), dtype=np.float32))  # within a block no position sees a later one
 
 
-def _seen(first: np.ndarray) -> np.ndarray:
-    """1 where a position may look: not at later ones, and not at the block before a text's first."""
-    seen = np.ones((2, BLOCK, 2 * BLOCK), dtype=np.float32)
-    seen[:, :, BLOCK:][:, np.triu(np.ones((BLOCK, BLOCK), dtype=bool), 1)] = 0
-    seen[1, :, :BLOCK] = 0
-    return seen[first.astype(np.int64)]
-
-
 @dataclass
 class AttentionModel:
     p: dict[str, np.ndarray]
@@ -115,45 +119,47 @@ class AttentionModel:
         # What depends on an id alone is looked up, and gradients are added up by id before they meet a matrix.
         qkv = np.concatenate([p["q"] * scale, p["k"], p["v"]], axis=1)
         by_id, by_place = p["e"] @ qkv, p["pos"] @ qkv
-        kv = by_id[:, w:].take(ids, axis=0)
-        kv += by_place[:, w:]
+        k, v = (np.ascontiguousarray(by_id[:, at:at + w]).take(ids, axis=0) for at in (w, 2 * w))
+        k += by_place[:, w:2 * w]
+        v += by_place[:, 2 * w:]
         q = by_id[:, :w].take(block, axis=0)
         q += by_place[BLOCK:, :w]
         own = p["e"].take(block, axis=0)
         own += p["pos"][BLOCK:]
-        k, v = kv[..., :w], kv[..., w:]
         a = q @ k.swapaxes(1, 2)
         np.exp(np.clip(a, -_LIMIT, _LIMIT, out=a), out=a)
-        a *= _seen(first)
-        a /= (a @ np.ones(2 * BLOCK, dtype=a.dtype))[..., None]
+        a[:, :, BLOCK:] *= _EARLIER
+        a[first, :, :BLOCK] = 0
+        a /= (a.reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, dtype=a.dtype)).reshape(*a.shape[:2], 1)
         mixed = a @ v
         h = flat(own + mixed @ p["o"])
         valid = target.ravel() >= 0
         high, low = np.divmod(np.where(valid, target.ravel(), 0), BASE)
         share = (valid / max(1, valid.sum())).astype(a.dtype)[:, None]
+        by_high = np.eye(BASE, dtype=a.dtype).take(high, axis=0)  # sums by digit are products with this
         inner = h + p["d"].take(high, axis=0)
         z = np.maximum(inner, 0)
         dh_logits, dl_logits = h @ p["u"] + p["ub"], z @ p["w"] + p["wb"].take(high, axis=0)
-        rows = np.arange(len(h))
+        rows, every = np.arange(len(h)), np.ones(len(h), dtype=a.dtype)
         for logits, digit in ((dh_logits, high), (dl_logits, low)):
             np.exp(np.clip(logits, -_LIMIT, _LIMIT, out=logits), out=logits)
             logits /= (logits @ np.ones(BASE, dtype=a.dtype))[:, None]
             logits[rows, digit] -= 1
             logits *= share
-        g = {"u": h.T @ dh_logits, "ub": dh_logits.sum(axis=0), "w": z.T @ dl_logits}
+        g = {"u": h.T @ dh_logits, "ub": every @ dh_logits, "w": z.T @ dl_logits}
         dz = dl_logits @ p["w"].T
         dz *= inner > 0
-        g["wb"], g["d"] = np.split(_sum_by(high, np.concatenate([dl_logits, dz], axis=1), BASE), [BASE], axis=1)
+        g["wb"], g["d"] = by_high.T @ dl_logits, by_high.T @ dz
         dh = dh_logits @ p["u"].T + dz
         g["o"] = flat(mixed).T @ dh
         dmixed = (dh @ p["o"].T).reshape(own.shape)
         da = dmixed @ v.swapaxes(1, 2)
-        da -= (dmixed * mixed).sum(axis=-1, keepdims=True)
+        da -= np.einsum("bij,bij->bi", dmixed, mixed)[..., None]
         da *= a
         dkv = np.concatenate([da.swapaxes(1, 2) @ q, a.swapaxes(1, 2) @ dmixed], axis=2)
         dq = np.concatenate([dh.reshape(own.shape), da @ k], axis=2)
-        kv_id, kv_at = _sum_by(ids.ravel(), flat(dkv), EDGE + 1), dkv.sum(axis=0)
-        q_id, q_at = _sum_by(block.ravel(), flat(dq), EDGE + 1), dq.sum(axis=0)
+        kv_id, q_id = _sum_by(ids.ravel(), flat(dkv), EDGE + 1), _sum_by(block.ravel(), flat(dq), EDGE + 1)
+        kv_at, q_at = ((every[:len(x)] @ x.reshape(len(x), -1)).reshape(x.shape[1:]) for x in (dkv, dq))
         sums_id = np.concatenate([q_id[:, w:], kv_id], axis=1)
         sums_at = np.concatenate([np.concatenate([np.zeros_like(q_at[:, w:]), q_at[:, w:]]), kv_at], axis=1)
         g["q"], g["k"], g["v"] = np.split(p["e"].T @ sums_id + p["pos"].T @ sums_at, 3, axis=1)
@@ -211,26 +217,35 @@ class Scorer:
     def __init__(self, p: dict[str, np.ndarray]):
         scale = np.float32(WIDTH ** -0.5)
         self.p = p
-        self.xq, self.kv = (np.concatenate(x, axis=1) for x in ((p["e"], p["e"] @ p["q"] * scale), (p["e"] @ p["k"], p["e"] @ p["v"])))
-        self.xq_at, self.kv_at = (np.concatenate(x, axis=1) for x in (
-            (p["pos"], p["pos"] @ p["q"] * scale), (p["pos"] @ p["k"], p["pos"] @ p["v"])))
+        self.x, self.q, self.k, self.v = (p["e"], p["e"] @ p["q"] * scale, p["e"] @ p["k"], p["e"] @ p["v"])
+        self.x_at, self.q_at, self.k_at, self.v_at = (p["pos"], p["pos"] @ p["q"] * scale, p["pos"] @ p["k"], p["pos"] @ p["v"])
+
+    @staticmethod
+    def _windows(table: np.ndarray, places: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """What a table holds for each block and the one before it; ``blocks`` begins with the block ahead of the first."""
+        found = table.take(blocks, axis=0)
+        out = np.empty((len(blocks) - 1, 2 * BLOCK, table.shape[1]), dtype=found.dtype)
+        np.add(found[:-1], places[:BLOCK], out=out[:, :BLOCK])
+        np.add(found[1:], places[BLOCK:], out=out[:, BLOCK:])
+        return out
 
     def blocks(self, blocks: np.ndarray, targets: np.ndarray, first: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Natural log probabilities of the targets of each block; ``before`` is the block ahead of the first one."""
         p, w = self.p, WIDTH
-        found = self.kv.take(np.concatenate([before[None], blocks]), axis=0)
-        kv = np.empty((len(blocks), 2 * BLOCK, 2 * w), dtype=found.dtype)
-        np.add(found[:-1], self.kv_at[:BLOCK], out=kv[:, :BLOCK])
-        np.add(found[1:], self.kv_at[BLOCK:], out=kv[:, BLOCK:])
-        xq = self.xq.take(blocks, axis=0)
-        xq += self.xq_at[BLOCK:]
-        a = xq[..., w:] @ kv[..., :w].swapaxes(1, 2)
+        both = np.concatenate([before[None], blocks])
+        k, v = self._windows(self.k, self.k_at, both), self._windows(self.v, self.v_at, both)
+        q = self.q.take(blocks, axis=0)
+        q += self.q_at[BLOCK:]
+        a = q @ k.swapaxes(1, 2)
         np.exp(np.clip(a, -_LIMIT, _LIMIT, out=a), out=a)
         a[:, :, BLOCK:] *= _EARLIER
         a[first, :, :BLOCK] = 0
-        mixed = a @ kv[..., w:]
-        mixed /= (a @ np.ones(2 * BLOCK, dtype=a.dtype))[..., None]
-        h = (xq[..., :w] + mixed @ p["o"]).reshape(-1, w)
+        mixed = (a @ v).reshape(-1, w)
+        mixed /= (a.reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, dtype=a.dtype))[:, None]
+        h = self.x.take(blocks, axis=0)
+        h += self.x_at[BLOCK:]
+        h = h.reshape(-1, w)
+        h += mixed @ p["o"]
         target = np.maximum(targets.ravel(), 0)
         high, low = target // BASE, target % BASE
         total = _log_of(h @ p["u"] + p["ub"], high)
@@ -315,6 +330,7 @@ def _add_models(table: pa.Table) -> pa.Table:
 def _learner(shared: Broadcast, rates: tuple[float, float], windows: int, turn: int) -> Callable[[tuple[pa.Scalar, ...], pa.Table], pa.Table]:
     """What a chunk does in a round: its parameters, each times the tokens that moved it."""
     def learn(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        _keep_freed_memory()
         known, p, squares = shared.value
         own = AttentionModel({n: x.copy() for n, x in p.items()})
         parts, share = _slabs(table.sort_by("key")["text"], encoder(known).encode_ordinary, _TEXT_AT_ONCE)
@@ -407,6 +423,7 @@ def score_texts(docs: DataFrame, text: str = "text", ranks_path: str = DEFAULT_R
             [x.tobytes() for x in parts], pa.binary()), "counts": pa.array([x.tobytes() for x in counts], pa.binary())})
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        _keep_freed_memory()
         out = left["__out"].to_numpy()
         _, counts, words, number = _word_counts(left["__text"], ~out)
         if len(right):
