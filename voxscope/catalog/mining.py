@@ -138,7 +138,7 @@ _LABELLED = f"""SELECT comment_id, CASE WHEN {TRAINING_NET} > 0 THEN 1e0 ELSE 0e
 
 
 def _labelled(t):
-    return stage(topics.labelled_rows(t.comments).select("label", "words"), "labelled")
+    return topics.labelled_rows(t.comments).select("label", "words")
 
 
 @add("naive_bayes_priors", with_comments(f""", r AS ({_LABELLED}) SELECT label, round(ln(count(*) + 1e0)

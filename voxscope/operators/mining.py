@@ -71,14 +71,17 @@ def naive_bayes_parameters(df: DataFrame, label: str = "label", tokens: str = "w
                            smoothing: float = 1.0) -> tuple[DataFrame, DataFrame]:
     """Multinomial naive Bayes by counting: (label, log_prior) and (label, term, log_theta).
 
-    ``df`` is read twice; stage it first when it is expensive.
+    ``df`` is read once: rows are counted with their terms, at the first term or, without terms, at a row of their own.
+    Only the counts are stored.
     """
-    classes = df.groupBy(label).agg(F.count("*").alias("_n"))
+    marks = df.select(label, F.posexplode_outer(tokens).alias("_at", "term"))
+    found = stage(marks.groupBy("term", label).agg(F.count("_at").alias("_tf"), F.count_if(F.coalesce(F.col("_at") == 0, F.lit(True))).alias("_rows")),
+                  "class-terms")
+    classes = found.groupBy(label).agg(F.sum("_rows").alias("_n"))
     total, kinds = classes.agg(F.sum("_n")).scalar(), classes.agg(F.count("*")).scalar()
     priors = classes.select(label, (F.log(F.col("_n") + smoothing)
                                     - F.log(total + kinds * smoothing)).alias("log_prior"))
-    counts = stage(df.select(label, F.explode(tokens).alias("term")).groupBy("term", label)
-                   .agg(F.count("*").alias("_tf")), "class-terms")
+    counts = found.filter("_tf > 0").drop("_rows")
     terms = counts.select("term").distinct()
     per_class = counts.groupBy(label).agg(F.sum("_tf").alias("_sum"))
     v = terms.agg(F.count("*")).scalar()
