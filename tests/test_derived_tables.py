@@ -1,9 +1,11 @@
 import datetime as dt
 import os
+import re
 
 import pytest
 
 from voxscope import session
+from voxscope.catalog import base, entries
 from voxscope.catalog.base import COMMENTS, Tables
 
 
@@ -33,3 +35,24 @@ def test_derived_texts_are_neither_stored_nor_shuffled_per_comment(spark, tables
     assert plan.count("Exchange hashpartitioning(doc_id") == 1 and plan.index("SortMergeJoin [doc_key") < plan.index("Join [user_id")
     assert "Exchange hashpartitioning(comment_id" not in plan and "Exchange hashpartitioning(event_id" not in plan
     assert tables.comments.count() > 43 and not os.path.exists(f"{tmp_path}/staged")
+
+
+def test_comments_are_dealt_by_number_and_not_by_bytes_of_their_keys(spark, tables, monkeypatch):
+    monkeypatch.setattr(base, "COMMENTS_A_TASK", 3)
+    plan = tables.comments.select("comment_id", "content")
+    rows = tables.events.count()
+    assert f"{-(-rows // 3)}, REPARTITION_BY_NUM" in re.sub(r"\)", "", plan._jdf.queryExecution().executedPlan().toString())
+    assert plan.rdd.getNumPartitions() == -(-rows // 3)
+
+
+def test_cleaned_texts_travel_alone(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "checkpoint_root", lambda _: f"{tmp_path}/staged")
+    for name, texts in (("clean_comments", None), ("quality_metrics", 0)):
+        found = entries()[name].run(tables).collect()
+        assert texts is None or found[0]["missing_content"] == texts
+    stored = [os.path.join(d, x) for d, xs, _ in os.walk(f"{tmp_path}/staged") for x in xs if x.startswith("unique-texts")]
+    assert len(stored) == 2
+    for path in stored:
+        rows = spark.read.parquet(path)
+        assert {r["content"] for r in rows.collect()} == {""} and rows.where("length(content_clean) > 100").count() > 3
+        assert all(".zstd." in x for x in os.listdir(path) if x.endswith(".parquet"))
