@@ -6,12 +6,19 @@ from counts over all pieces before it: sums within each range, and over the few
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import stage
+from .. import session
+
+stage = partial(session.stage, compression="zstd")
 
 _PLACE = ["file", "block", "pos"]
+_CHUNK = ["file", "block", "chunk"]
+_LINES_A_CHUNK = 4096
+_BYTES_A_TASK = 16 << 20
 
 
 def pieces(spark: SparkSession, path: str | list[str], separator: str, glob: str | None = None) -> DataFrame:
@@ -34,22 +41,47 @@ def with_sum_before(rows: DataFrame, value: str, out: str) -> DataFrame:
     return summed.join(blocks, ["file", "block"]).withColumn(out, F.col("_in") + F.col("_base")).drop("_in", "_base")
 
 
-def _joined(rows: DataFrame, separator: str) -> DataFrame:
-    """(file, record, text): the pieces of each record in order."""
+def _joined(rows: DataFrame, separator: str, group: tuple[str, ...] | list[str] = ("file",)) -> DataFrame:
+    """(file, record, text), beside the columns of ``group``: the pieces of each record in order."""
     parts = F.transform(F.array_sort(F.collect_list(F.struct("block", "pos", "text"))), lambda p: p["text"])
-    return rows.groupBy("file", "record").agg(F.array_join(parts, separator).alias("text"))
+    return rows.groupBy(*group, "record").agg(F.array_join(parts, separator).alias("text"))
 
 
 def csv_records(spark: SparkSession, path: str | list[str], quote: str = '"') -> DataFrame:
-    """(file, record, text) of CSV files: lines whose quotes are still open are one record with the next ones."""
+    """(file, record, text) of CSV files: lines whose quotes are still open are one record with the next ones.
+
+    Lines are stored once and shuffled once, in chunks; the lines that end a record of an earlier chunk go there.  Only one row per chunk
+    is put in order over a file.
+    """
     lines = pieces(spark, path, "\n")
     odd = F.length("text") - F.length(F.replace("text", F.lit(quote), F.lit("")))
-    stored = stage(lines.drop("size").withColumn("quotes", odd.cast("long")), "csv-lines")
-    # Only the numbers are put in order; a line's text meets its record's number once.
-    opened = stage(with_sum_before(stored.drop("text"), "quotes", "before").select(
-        *_PLACE, ((F.col("before") + F.col("quotes")) % 2 == 0).cast("long").alias("ends")), "csv-open")
-    numbered = with_sum_before(opened, "ends", "record").select(*_PLACE, "record")
-    return _joined(stored.drop("quotes").join(numbered, _PLACE), "\n").withColumn("text", F.regexp_replace("text", "\r$", ""))
+    stored = stage(lines.drop("size").withColumns({"quotes": odd.cast("long"), "bytes": F.octet_length("text").cast("long"), "chunk": F.floor(
+        F.col("pos") / _LINES_A_CHUNK)}), "csv-lines")
+    # A line begins a record where an even number of quotes stands before it: counted for chunks that begin outside quotes, and inside.
+    inside = Window.partitionBy(*_CHUNK).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    counted = stored.select(*_CHUNK, "pos", "quotes", "bytes", (F.coalesce(F.sum("quotes").over(inside), F.lit(0)) % 2 == 0).alias("_even"))
+    chunks = stage(counted.groupBy(_CHUNK).agg(
+        F.sum("quotes").alias("quotes"), F.sum("bytes").alias("bytes"), F.count_if("_even").alias("n_out"), F.count_if(~F.col("_even")).alias("n_in"),
+        F.min(F.when(F.col("_even"), F.col("pos"))).alias("first_out"), F.min(F.when(~F.col("_even"), F.col("pos"))).alias("first_in")), "csv-chunks")
+    before = Window.partitionBy("file").orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    outside = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 0
+    opened = chunks.withColumn("_out", outside).select(*_CHUNK, F.when(F.col("_out"), F.col("n_out")).otherwise(F.col("n_in")).alias("n"), F.when(
+        F.col("_out"), F.col("first_out")).otherwise(F.col("first_in")).alias("first"))
+    numbered = opened.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    home = F.last(F.when(F.col("n") > 0, F.struct("block", "chunk", "base")), ignorenulls=True).over(before)
+    places = stage(numbered.withColumn("home", home), "csv-places")
+    own = F.coalesce(F.col("pos") >= F.col("first"), F.lit(False))
+    at = {f"_{c}": F.when(own, F.col(c)).otherwise(F.col(f"home.{c}")) for c in ("block", "chunk", "base")}
+    located = stored.join(places, _CHUNK).select(*_PLACE, "text", "quotes", *[c.alias(n) for n, c in at.items()])
+    size = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // _BYTES_A_TASK))
+    group = ["file", "_block", "_chunk"]
+    dealt = located.repartition(tasks, *group)
+    order = Window.partitionBy(*group).orderBy("block", "pos")
+    begins = (F.coalesce(F.sum("quotes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2 == 0).cast("long")
+    rows = dealt.withColumn("_begins", begins).withColumn("record", F.col("_base") - 1 + F.sum("_begins").over(
+        order.rowsBetween(Window.unboundedPreceding, 0)))
+    return _joined(rows, "\n", group).select("file", "record", F.regexp_replace("text", "\r$", "").alias("text"))
 
 
 def _count(text: Column, char: str) -> Column:
