@@ -29,6 +29,10 @@ def _large(t, least):
     return max(least, t._tasks // 8)
 
 
+def _writers(t):
+    return _large(t, t.spark.sparkContext.defaultParallelism)
+
+
 def _as_text(df):
     return df.select("comment_id", "note_id", "nickname", F.md5("content").alias("content_md5"))
 
@@ -62,7 +66,7 @@ def _(t):
  (VALUES ('parquet'), ('csv'), ('jsonl')) AS f(format)"""))
 def _(t):
     rows = t.comments.select(*_COMMENT, F.to_date("create_time").alias("date"))
-    folders = sinks.write_outputs(rows, stage_path(t.spark, "outputs"), partition_by="date", compression=_PACKED)
+    folders = sinks.write_outputs(rows, stage_path(t.spark, "outputs"), partition_by="date", compression=_PACKED, tasks=_writers(t), table_compression="zstd")
     schema = "comment_id bigint, note_id bigint, nickname string, content string, date date"
     back = {"parquet": t.spark.read.parquet(folders["parquet"]), "csv": csv_safe.read_csv_safe(t.spark, folders["csv"]),
             "jsonl": t.spark.read.schema(schema).json(folders["jsonl"])}

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,16 +20,47 @@ _CSV_WRITE = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"} | {
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def write_outputs(df: DataFrame, path: str, partition_by: str | None = None, compression: str = "none") -> dict[str, str]:
+_OPEN_FILES = 256
+
+
+@contextmanager
+def _in_place(spark: SparkSession) -> Iterator[None]:
+    """Writes inside keep a file open for each folder a task meets, up to a limit, instead of sorting its rows by folder first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(_OPEN_FILES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+@contextmanager
+def _dealt(df: DataFrame, parts: tuple[str, ...], tasks: int | None) -> Iterator[DataFrame]:
+    """Rows for folders by ``parts``: few files per folder, none too large, or what ``tasks`` tasks write without a shuffle."""
+    if tasks is None:
+        yield df.hint("rebalance", *parts) if parts else df
+    else:
+        with _in_place(df.sparkSession):
+            yield df.coalesce(tasks)
+
+
+def write_outputs(df: DataFrame, path: str, partition_by: str | None = None, compression: str = "none", tasks: int | None = None,
+                  table_compression: str | None = None) -> dict[str, str]:
     """Write Parquet, CSV and JSON Lines copies; returns their folders.
 
-    The plan runs once, for Parquet; the other copies are made from that table.  ``compression`` is that of the text files;
-    every reader of this library takes either, but a compressed file is one task.
+    The plan runs once, for Parquet; the other copies are made from that table.  ``compression`` is that of the text files, every
+    reader of this library takes either, but a compressed file is one task; ``table_compression`` that of Parquet, the session's
+    unless given.  Rows are shuffled for few files per folder; with ``tasks`` that many tasks write them where they are, each at most
+    one file per folder, which suits long texts that lie in large partitions.
     """
     folders = {fmt: os.path.join(path, fmt) for fmt in ("parquet", "csv", "jsonl")}
-    clustered = df.hint("rebalance", partition_by) if partition_by else df  # few files per folder, none too large
-    writer = clustered.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(folders["parquet"])
+    with _dealt(df, (partition_by,) if partition_by else (), tasks) as clustered:
+        writer = clustered.write.mode("overwrite")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(folders["parquet"], compression=table_compression)
     stored = df.sparkSession.read.schema(df.schema).parquet(folders["parquet"]).select(df.columns)
     _flat(stored).write.mode("overwrite").options(**_CSV_WRITE, compression=compression).csv(folders["csv"])
     stored.write.mode("overwrite").options(ignoreNullFields="false", compression=compression).json(folders["jsonl"])
@@ -44,14 +76,16 @@ def write_single_csv(df: DataFrame, path: str) -> None:
 PARTS = ("platform", "crawl_type", "item", "dt")
 
 
-def append_csv(df: DataFrame, path: str, parts: tuple[str, ...] = PARTS, compression: str = "none") -> None:
-    """Append rows below platform/type/item/day folders."""
-    _flat(df).hint("rebalance", *parts).write.mode("append").partitionBy(*parts).options(**_CSV_WRITE, compression=compression).csv(path)
+def append_csv(df: DataFrame, path: str, parts: tuple[str, ...] = PARTS, compression: str = "none", tasks: int | None = None) -> None:
+    """Append rows below platform/type/item/day folders; ``tasks`` as in :func:`write_outputs`."""
+    with _dealt(_flat(df), parts, tasks) as rows:
+        rows.write.mode("append").partitionBy(*parts).options(**_CSV_WRITE, compression=compression).csv(path)
 
 
-def append_json(df: DataFrame, path: str, parts: tuple[str, ...] = PARTS, compression: str = "none") -> None:
-    """Append rows as JSON Lines; existing files are never rewritten."""
-    df.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).options(ignoreNullFields="false", compression=compression).json(path)
+def append_json(df: DataFrame, path: str, parts: tuple[str, ...] = PARTS, compression: str = "none", tasks: int | None = None) -> None:
+    """Append rows as JSON Lines; existing files are never rewritten; ``tasks`` as in :func:`write_outputs`."""
+    with _dealt(df, parts, tasks) as rows:
+        rows.write.mode("append").partitionBy(*parts).options(ignoreNullFields="false", compression=compression).json(path)
 
 
 def cell_text(column: Column, kind: T.DataType) -> Column:
