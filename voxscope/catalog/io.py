@@ -100,8 +100,8 @@ def _register_append(name, append, read):
     @add(name, with_comments(_APPENDED))
     def _(t):
         path = stage_path(t.spark, name)
-        append(_parts(t.comments), path, compression=_PACKED)
-        append(_parts(t.comments.filter("like_count > 100")), path, compression=_PACKED)
+        append(_parts(t.comments), path, compression=_PACKED, tasks=_writers(t))
+        append(_parts(t.comments.filter("like_count > 100")), path, compression=_PACKED, tasks=_writers(t))
         return read(t.spark, path).select("item", F.date_format(F.col("dt").cast("date"), "yyyy-MM-dd").alias("dt"), F.col(
             "comment_id").cast("string").alias("comment_id"), F.md5("content").alias("content_md5"))
 
