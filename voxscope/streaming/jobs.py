@@ -87,41 +87,46 @@ def append_rows(result: DataFrame, path: str) -> Callable[[], DataFrame]:
     return lambda: result.sparkSession.read.schema(schema).parquet(path)
 
 
-_BEAT, _SPREAD = "_beat", 1024
+_BEAT, _SPREAD, _USER_GROUPS = "_beat", 1024, 256
 
 
 class _Bursts(StatefulProcessor):
-    """The rows of one user and stretch of time, until no more of them can come.
+    """The rows of one group of users and stretch of time, until no more of them can come.
+
+    Users share a key, as a key costs far more than a row: its state, its timer and their way to this process and back.
 
     State is a list of (guest, short, row) and one timer at the end of the stretch.  The watermark reaches it when the stretch
     is complete; then the rows are put in order, judged, and forgotten.  Rows without a stretch pass at once.
     """
 
-    def __init__(self, row: T.StructType, ts: str, tie: str, max_gap: float):
-        self.names, self.max_gap = row.names, max_gap
-        self.ts, self.tie = row.names.index(ts), row.names.index(tie)
+    def __init__(self, row: T.StructType, user: str, ts: str, tie: str, max_gap: float):
+        self.made, self.size, self.max_gap = Row(*row.names), len(row.names), max_gap
+        self.user, self.ts, self.tie = (row.names.index(c) for c in (user, ts, tie))
         self.schema = T.StructType([T.StructField("guest", T.BooleanType()), T.StructField("short", T.BooleanType()), *row.fields])
 
     def init(self, handle) -> None:
         self.handle, self.rows = handle, handle.getListState("rows", self.schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # The columns of a row come first, then whether it visits and whether it is short.
+        n = self.size
         if key[1] is None:
-            return (Row(**{n: r[n] for n in self.names}) for r in rows)
-        self.rows.appendList([(r["_guest"], r["_short"], *[r[n] for n in self.names]) for r in rows])
+            return (self.made(*r[:n]) for r in rows)
+        self.rows.appendList([(r[n], r[n + 1], *r[:n]) for r in rows])
         self.handle.registerTimer(int(key[1]))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        rows = sorted(self.rows.get(), key=lambda r: (r[2 + self.ts], r[2 + self.tie] is not None, r[2 + self.tie]))
+        user, ts, tie = 2 + self.user, 2 + self.ts, 2 + self.tie
+        rows = sorted(self.rows.get(), key=lambda r: (r[user], r[ts], r[tie] is not None, r[tie]))
         self.rows.clear()
-        before = None
-        for guest, short, *row in rows:
-            at = row[self.ts]
-            soon = before is not None and (at - before).total_seconds() < self.max_gap
-            before = at
-            if not guest and not (short and soon):
-                yield Row(**dict(zip(self.names, row)))
+        before = who = None
+        for r in rows:
+            at = r[ts]
+            soon = r[user] == who and before is not None and (at - before).total_seconds() < self.max_gap
+            before, who = at, r[user]
+            if not r[0] and not (r[1] and soon):
+                yield self.made(*r[2:])
 
     def close(self) -> None:
         pass
@@ -132,8 +137,8 @@ def burst_filtered(stream: DataFrame, max_gap: float, max_length: int, user: str
                    bucket_seconds: int = 600, heartbeats: DataFrame | None = None) -> DataFrame:
     """The stream without bursts; rows may come in any order as long as none is more than ``late`` behind the newest.
 
-    A user's time is cut into stretches of ``bucket_seconds``, which are keys of their own: an active user is spread over
-    tasks, and state holds only what the watermark has not passed.  Rows at most ``max_gap`` before the end of a stretch visit
+    Time is cut into stretches of ``bucket_seconds``, which are keys of their own for each group of users: an active user is spread
+    over tasks, and state holds only what the watermark has not passed.  Rows at most ``max_gap`` before the end of a stretch visit
     the next one as well, so its first rows see who came before.  A stretch comes out once it is complete.  Rows without a
     user or a time follow nobody and pass at once; rows later than ``late`` are dropped and counted in the progress.
 
@@ -157,10 +162,11 @@ def burst_filtered(stream: DataFrame, max_gap: float, max_length: int, user: str
     # A visitor leaves all but its place in the order at home.  Rows without a user are spread by their time and tie.
     slim = [F.when(~F.col("_stay.guest") | F.lit(c in (user, ts, tie)), F.col(f"`{c}`")).alias(c) for c in stream.columns]
     spread = F.when(F.col("_stay.end").isNull(), F.pmod(F.xxhash64(tie, ts), F.lit(_SPREAD)))
-    keyed = stays.select(*slim, "_at", "_short", F.col("_stay.guest").alias("_guest"), F.col(user).alias("_user"),
+    group = F.pmod(F.xxhash64(user), F.lit(_USER_GROUPS))
+    keyed = stays.select(*slim, F.col("_stay.guest").alias("_guest"), "_short", "_at", group.alias("_users"),
                          F.ceil(F.col("_stay.end") / 1000).alias("_end"), spread.alias("_part"))
     row = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema.fields])
-    return keyed.groupBy("_user", "_end", "_part").transformWithState(_Bursts(row, ts, tie, max_gap), row, "Append", "EventTime")
+    return keyed.groupBy("_users", "_end", "_part").transformWithState(_Bursts(row, user, ts, tie, max_gap), row, "Append", "EventTime")
 
 
 def stream_burst_filter(stream: DataFrame, path: str, max_gap: float, max_length: int, user: str = "user_id",
