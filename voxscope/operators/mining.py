@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import IDF, PCA, CountVectorizer, CountVectorizerModel, HashingTF
+from pyspark.ml.common import _py2java
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, HashingTF, PCAModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseMatrix, DenseVector
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,13 +141,24 @@ def top_terms_per_cluster(centers: list, terms: list[str], df: DataFrame, n: int
 def pca_points(df: DataFrame, features: str = "features") -> DataFrame:
     """Add ``x`` and ``y``, the first two principal components.
 
-    The sign of a component is arbitrary; here its largest loading is positive.
+    The sign of a component is arbitrary; here its largest loading is positive.  Spark's fit decomposes the covariance on the
+    driver without a native library, which takes far longer than the rest; the covariance is Spark's, the decomposition LAPACK's.
     """
-    model = PCA(k=2, inputCol=features, outputCol="_pca").fit(df)
-    loadings = model.pc.toArray()
+    found = df.select(Summarizer.metrics("variance").summary(F.col(features)).alias("s")).first()
+    spread = np.sqrt(found["s"]["variance"].toArray())
+    # Correlations are the covariance over both deviations, and undefined where there is none.
+    covariance = np.nan_to_num(Correlation.corr(df, features).first()[0].toArray(), nan=0.0) * np.outer(spread, spread)
+    values, vectors = np.linalg.eigh(covariance)
+    largest = np.argsort(values)[::-1][:2]
+    loadings = vectors[:, largest]
     signs = [1.0 if loadings[abs(loadings[:, i]).argmax(), i] >= 0 else -1.0 for i in range(2)]
+    context = df.sparkSession.sparkContext
+    share = DenseVector(values[largest] / max(values.sum(), np.finfo(float).tiny))
+    fitted = context._jvm.org.apache.spark.ml.feature.PCAModel(f"pca_{uuid.uuid4().hex}", _py2java(
+        context, DenseMatrix(len(loadings), 2, (loadings * signs).ravel(order="F").tolist())), _py2java(context, share))
+    model = PCAModel(fitted)._set(k=2).setInputCol(features).setOutputCol("_pca")
     xy = vector_to_array("_pca")
-    return (model.transform(df).withColumns({"x": xy[0] * signs[0], "y": xy[1] * signs[1]}).drop("_pca"))
+    return model.transform(df).withColumns({"x": xy[0], "y": xy[1]}).drop("_pca")
 
 
 def naive_bayes(train: DataFrame, smoothing: float = 1.0) -> NaiveBayesModel:
