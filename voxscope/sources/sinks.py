@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import merge
+from ..session import settings
 from .csv_safe import CSV_OPTIONS, is_missing
 from .keyed_tables import KeyedTable
 
@@ -23,28 +24,14 @@ _CSV_WRITE = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"} | {
 _OPEN_FILES = 256
 
 
-@contextmanager
-def _in_place(spark: SparkSession) -> Iterator[None]:
-    """Writes inside keep a file open for each folder a task meets, up to a limit, instead of sorting its rows by folder first."""
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(_OPEN_FILES))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 @contextmanager
 def _dealt(df: DataFrame, parts: tuple[str, ...], tasks: int | None) -> Iterator[DataFrame]:
     """Rows for folders by ``parts``: few files per folder, none too large, or what ``tasks`` tasks write without a shuffle."""
     if tasks is None:
         yield df.hint("rebalance", *parts) if parts else df
     else:
-        with _in_place(df.sparkSession):
+        # A file stays open for each folder a task meets, up to a limit, instead of sorting its rows by folder first.
+        with settings(df.sparkSession, spark__sql__maxConcurrentOutputFileWriters=str(_OPEN_FILES)):
             yield df.coalesce(tasks)
 
 
